@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate
+from . import decontaminate, pack, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,9 +17,19 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op2_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_files(_table(spark, sf_dir, "documents"), end_id=2)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.pack_documents(_table(spark, sf_dir, "documents"), pack.Limits(2048, 64, 2048), end_id=1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_benchmark_decontamination,
+        op2_token_id_output,
+        op3_packing,
     )
 }
