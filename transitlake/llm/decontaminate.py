@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import lower_ascii, row_key, small, words
+from .shared import lower_ascii, row_key, words
 
 WINDOW = 10
 #: Windows of a benchmark that are broadcast, about 200 bytes each.
@@ -27,7 +27,7 @@ def _hashed(tokens: Column) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, text: str = "text", item_id: str = "item_id") -> DataFrame:
-    """One row per hash: ``_h`` and ``_windows``, an array of (len, words, items).
+    """One row per window: ``_h``, ``_len``, ``_words`` and the array ``_items`` of the items that have it.
 
     An item of fewer than ``window`` words is one window, one without words none; a null id counts as the empty string.
     """
@@ -38,8 +38,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, text: str = "t
     hashes = F.lit(None).cast("long")
     for n in range(1, window + 1):
         hashes = F.when(F.col("len") == n, _hash(F.col("low"), F.lit(0), n)).otherwise(hashes)
-    one = part.groupBy(hashes.alias("_h"), "len", "words").agg(F.collect_set("item").alias("items"))
-    return one.groupBy("_h").agg(F.collect_list(F.struct("len", "words", "items")).alias("_windows"))
+    return part.groupBy(hashes.alias("_h"), F.col("len").alias("_len"), F.col("words").alias("_words")).agg(F.collect_set("item").alias("_items"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", doc_id: str = "doc_id", broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
@@ -49,22 +48,28 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, t
     Rows that repeat come out as often as they went in; other columns are ignored, whatever their names.
     """
     table = benchmark_windows(benchmark, window)
-    lengths = sorted(r[0] for r in table.select(F.explode("_windows.len").alias("n")).distinct().collect())  # at most `window` numbers
-    table = small(table, broadcast_windows)
+    lengths = sorted(r[0] for r in table.select("_len").distinct().collect()) or [window]  # at most `window` numbers
+    few = table.limit(broadcast_windows + 1).count() <= broadcast_windows
     docs = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     docs = docs.select("_id", *row_key(F.col("_id"), F.col("_text")), words(F.col("_text")).alias("_raw")).withColumn("_low", _hashed(F.col("_raw")))
-    at = docs.select("_id", "_k1", "_k2", "_raw", "_low", F.explode(F.sequence(F.lit(0), F.size("_raw"))).alias("_i"))
     i, n = F.col("_i"), F.size("_raw")
+    at = docs.select("*", F.explode(F.sequence(F.lit(0), n)).alias("_i"))
     if len(lengths) > 1:
-        hashes = [F.when((i >= 1) & (i + k - 1 <= n), _hash(F.col("_low"), i - 1, k)) for k in lengths]
-        at = at.select("*", F.explode(F.when(i == 0, F.array(F.lit(None).cast("long"))).otherwise(F.array(*hashes))).alias("_h"))
+        at = at.select("*", F.explode(F.array(*map(F.lit, lengths))).alias("_k")).where((i > 0) | (F.col("_k") == lengths[0]))
     else:
-        k = lengths[0] if lengths else window
-        at = at.withColumn("_h", F.when((i >= 1) & (i + k - 1 <= n), _hash(F.col("_low"), i - 1, k)))
-    met = at.join(table, "_h", "left").where((i == 0) | F.col("_windows").isNotNull())
-    met = met.select("_id", "_k1", "_k2", "_i", n.alias("_n"), F.filter("_windows", lambda w: w["words"] == lower_ascii(F.array_join(F.slice("_raw", F.greatest(i, F.lit(1)), w["len"]), " "))).alias("_true"))
-    met = met.where((i == 0) | (F.size("_true") > 0))
-    met = met.select("_id", "_k1", "_k2", "_i", "_n", F.when(i > 0, F.struct(i.alias("a"), (i + F.array_max("_true.len") - 1).alias("b"))).alias("_span"), F.when(i > 0, F.flatten("_true.items")).alias("_items"))
+        at = at.withColumn("_k", F.lit(lengths[0]))
+    k, hashes = F.col("_k"), F.lit(None).cast("long")
+    for m in lengths:
+        hashes = F.when((k == m) & (i >= 1) & (i + m - 1 <= n), _hash(F.col("_low"), i - 1, m)).otherwise(hashes)
+    at, said = at.withColumn("_at", hashes), lower_ascii(F.array_join(F.slice("_raw", F.greatest(i, F.lit(1)), k), " "))
+    # no higher-order function and no array of a whole text leaves the generated code that walks the positions
+    if few:
+        met = at.join(F.broadcast(table), (F.col("_at") == F.col("_h")) & (k == F.col("_len")) & (F.col("_words") == said), "left")
+    else:
+        at = at.select("_id", "_k1", "_k2", "_i", n.alias("_n"), "_k", "_at", F.when(F.col("_at").isNotNull(), said).alias("_said"))
+        met, n = at.join(table, (F.col("_at") == F.col("_h")) & (F.col("_words") == F.col("_said")), "left"), F.col("_n")
+    met = met.where((i == 0) | F.col("_h").isNotNull())
+    met = met.select("_id", "_k1", "_k2", "_i", n.alias("_n"), F.when(i > 0, F.struct(i.alias("a"), (i + k - 1).alias("b"))).alias("_span"), "_items")
     per = met.groupBy("_id", "_k1", "_k2").agg(
         F.count(F.when(i == 0, 1)).alias("_copies"), F.max("_n").cast("long").alias("n_words"),
         F.array_sort(F.collect_set("_span")).alias("_spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("_items")))).alias("items"),
