@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, pack, tokens
+from . import decontaminate, jaccard, pack, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,11 +25,16 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack_documents(_table(spark, sf_dir, "documents"), pack.Limits(2048, 64, 2048), end_id=1)
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_classes(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_benchmark_decontamination,
         op2_token_id_output,
         op3_packing,
+        op8_ngram_jaccard_join,
     )
 }
