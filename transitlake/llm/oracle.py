@@ -20,5 +20,19 @@ named AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, '
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+""",
+    "op7_substring_dedup": r"""
+WITH dw AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS s FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM dw WHERE len(w) >= 35)
+), again AS (SELECT r, i FROM win WHERE s IN (SELECT s FROM win GROUP BY s HAVING count(*) > 1)
+), gone AS (SELECT r, list(DISTINCT p) AS ps FROM (SELECT r, unnest(range(i, i + 35)) AS p FROM again) GROUP BY r
+), kept AS (
+  SELECT r, string_agg(x, ' ' ORDER BY p) AS k FROM (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM dw) AS a
+  WHERE NOT EXISTS (SELECT 1 FROM (SELECT r, unnest(ps) AS p FROM gone) AS g WHERE g.r = a.r AND g.p = a.p) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM dw LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)
 """,
 }
