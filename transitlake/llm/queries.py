@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, pack, substrings, tokens
+from . import decontaminate, jaccard, pack, spotsigs, substrings, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack_documents(_table(spark, sf_dir, "documents"), pack.Limits(2048, 64, 2048), end_id=1)
 
 
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.remove_repeats(_table(spark, sf_dir, "documents"), window=35)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -41,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_benchmark_decontamination,
         op2_token_id_output,
         op3_packing,
+        op4_document_fingerprints,
         op7_substring_dedup,
         op8_ngram_jaccard_join,
     )
