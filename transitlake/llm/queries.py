@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, pack, spotsigs, substrings, tokens
+from . import decontaminate, jaccard, pack, pii, spotsigs, substrings, tokens, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_table(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.remove_repeats(_table(spark, sf_dir, "documents"), window=35)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -39,6 +43,14 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_classes(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
+def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.build(warc.responses(_table(spark, sf_dir, "pages"))).drop("warc")
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -46,7 +58,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_token_id_output,
         op3_packing,
         op4_document_fingerprints,
+        op6_pii,
         op7_substring_dedup,
         op8_ngram_jaccard_join,
+        op9_warc_derivatives,
+        op10_url_filter,
     )
 }
