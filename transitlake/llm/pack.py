@@ -158,10 +158,13 @@ def pack_documents(docs: DataFrame, limits: Limits = Limits(), end_id: int = 1,
         def place(rows) -> None:
             for (doc_id, ids, before), start, length, sequence, offset in rows:
                 part = ids[start : start + length]
-                out.append((doc_id, before + start, length, crc_of(part), before + len(ids), high + sequence, offset) + ((part.tolist(),) if with_ids else ()))
+                out.append((doc_id, before + start, length, crc_of(part), before + len(ids), high + sequence, offset) + ((part,) if with_ids else ()))
 
         def given() -> pa.RecordBatch:
-            columns = [pa.array(x, pa.list_(pa.int32()) if i == 7 else pa.int64()) for i, x in enumerate(zip(*out, strict=True))]
+            columns = [pa.array(x, pa.int64()) for x in list(zip(*out, strict=True))[:7]]
+            if with_ids:
+                ends = np.cumsum([0, *(len(x[7]) for x in out)]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([x[7] for x in out]).astype(np.int32))))
             out.clear()
             return pa.RecordBatch.from_arrays(columns, names)
 
@@ -171,7 +174,7 @@ def pack_documents(docs: DataFrame, limits: Limits = Limits(), end_id: int = 1,
                 while len(ids) - at >= most:
                     packer._next() if packer.offset else None
                     part = ids[at : at + most]
-                    out.append((doc_id, at, most, crc_of(part), len(ids), high + packer.sequence, 0) + ((part.tolist(),) if with_ids else ()))
+                    out.append((doc_id, at, most, crc_of(part), len(ids), high + packer.sequence, 0) + ((part,) if with_ids else ()))
                     packer._next()
                     at += most
                 place(packer.feed((doc_id, ids[at:], at), len(ids) - at, len(ids) - at))
