@@ -1,8 +1,57 @@
-"""From raw documents to packed training sequences."""
+"""From raw documents to packed training sequences, in five stages that each work on all the stage before kept."""
 
-STAGES: list = []
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from transitlake.llm import decontaminate, jaccard, pack, pii, quality
+from transitlake.llm.shared import shared_dir, staged
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject; it learns from the labelled ones among ``docs``."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the least id, of each class of near duplicates."""
+    return jaccard.drop_near_duplicates(docs)
+
+
+def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of the benchmark."""
+    return decontaminate.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mask in place of each piece of personal data."""
+    return pii.mask(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, with their token ids and their places in sequences."""
+    return pack.pack_documents(docs, pack.Limits(2048, 64, 2048), end_id=1, with_ids=True)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", good_quality),
+    ("near_duplicates", one_of_each_class),
+    ("decontamination", uncontaminated),
+    ("pii", without_personal_data),
+    ("packing", packed),
+]
+
+#: SQL has no tokenizer and fits no model; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what each returns is written to the shared folder before the next one begins."""
+    docs, folder = spark.read.parquet(f"{sf_dir}/documents.parquet"), shared_dir(spark)
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), folder, name)
+    return STAGES[-1][1](spark, docs, sf_dir)
