@@ -1,0 +1,185 @@
+import json
+
+import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+
+from transitlake.operators import compact as C
+from transitlake.sources.storage import create_storage
+
+HOUR = "p/S/2024-01-01/00-00-00_to_00-15-00.parquet"
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    return Files(create_storage(spark, "filesystem", base_directory=str(tmp_path / "root")), tmp_path / "root")
+
+
+class Files:
+    def __init__(self, store, root, provider="p"):
+        self.store, self.root, self.provider = store, root, provider
+
+    def put(self, stamp, rows=2, table=None, raw=None, at=0):
+        path = self.root / self.provider / "S/individual" / f"{stamp}.parquet"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        if raw is not None:
+            path.write_bytes(raw)
+        else:
+            pq.write_table(table if table is not None else pa.table({"id": pa.array([f"{stamp}/{i}" for i in range(rows)], pa.string()), "value": pa.array(range(at, at + rows), pa.int64())}), path)
+
+    def names(self, part):
+        return sorted(str(p.relative_to(self.root)) for p in self.root.rglob("*.parquet") if f"/{part}/" in str(p))
+
+    def ids(self, path=HOUR):
+        return pq.read_table(self.root / path).column("id").to_pylist()
+
+    def compact(self, **options):
+        return C.compact(self.store, self.provider, "S", 15, **options)
+
+
+def test_closed_buckets_become_one_object(lake):
+    for m in (0, 5, 10, 20, 31):
+        lake.put(f"2024-01-01_00-{m:02d}-00")
+    lake.put("oops")
+    done = lake.compact()
+    assert [(c.output, c.n_files, c.n_rows) for c in done] == [(HOUR, 3, 6), ("p/S/2024-01-01/00-15-00_to_00-30-00.parquet", 1, 2)]
+    assert lake.ids() == [f"2024-01-01_00-{m:02d}-00/{i}" for m in (0, 5, 10) for i in range(2)]
+    assert lake.names("individual") == ["p/S/individual/2024-01-01_00-31-00.parquet", "p/S/individual/oops.parquet"]
+    assert lake.compact() == [] and not list(lake.root.rglob("_lock")) and not list(lake.root.rglob("_staging/*"))
+    assert pq.ParquetFile(lake.root / HOUR).metadata.row_group(0).column(0).compression == "ZSTD"
+
+
+def test_force_closes_the_open_bucket(lake):
+    lake.put("2024-01-01_00-01-00")
+    assert lake.compact() == []
+    assert [c.n_rows for c in lake.compact(force=True)] == [2]
+
+
+@pytest.mark.parametrize("table", [
+    pa.table({"id": ["x"], "value": pa.array([1], pa.int64()), "extra": [1]}),
+    pa.table({"value": pa.array([1], pa.int64()), "id": ["x"]}),
+    pa.table({"id": ["x"], "value": pa.array([1], pa.int32())}),
+    pa.table({"id": ["x"], "value": pa.array([1], pa.int64())}, schema=pa.schema([pa.field("id", pa.string(), nullable=False), pa.field("value", pa.int64())])),
+])
+def test_files_of_another_schema_are_quarantined(lake, table):
+    lake.put("2024-01-01_00-00-00")
+    lake.put("2024-01-01_00-05-00", table=table)
+    lake.put("2024-01-01_00-20-00")
+    (done,) = lake.compact()
+    assert done.quarantined == ("p/S/individual/2024-01-01_00-05-00.parquet",) and len(lake.ids()) == 2
+    assert lake.names("error") == ["p/S/error/2024-01-01_00-05-00.parquet"]
+
+
+def test_promotion_fills_missing_columns(lake):
+    lake.put("2024-01-01_00-00-00", rows=1)
+    lake.put("2024-01-01_00-05-00", table=pa.table({"value": pa.array([7], pa.int64()), "extra": ["e"], "id": ["x"]}))
+    lake.put("2024-01-01_00-20-00")
+    assert lake.compact(schema_mode="promote")[0].quarantined == ()
+    assert pq.read_table(lake.root / HOUR).to_pylist() == [{"id": "2024-01-01_00-00-00/0", "value": 0, "extra": None}, {"id": "x", "value": 7, "extra": "e"}]
+
+
+@pytest.mark.parametrize("bad", ["2024-01-01_00-00-00", "2024-01-01_00-09-00"])
+@pytest.mark.parametrize("raw", [b"", b"junk"])
+def test_unreadable_files_first_or_later(lake, bad, raw):
+    lake.put("2024-01-01_00-05-00")
+    lake.put(bad, raw=raw)
+    lake.put("2024-01-01_00-20-00")
+    (done,) = lake.compact()
+    assert done.n_rows == 2 and done.quarantined == (f"p/S/individual/{bad}.parquet",)
+
+
+def test_empty_files(lake):
+    lake.put("2024-01-01_00-00-00", rows=0)
+    lake.put("2024-01-01_00-05-00")
+    lake.put("2024-01-01_00-06-00", rows=0)
+    lake.put("2024-01-01_00-16-00", rows=0)
+    lake.put("2024-01-01_00-31-00")
+    done = lake.compact()
+    assert [(c.output is None, c.n_rows) for c in done] == [(False, 2), (True, 0)]
+    assert lake.names("individual") == ["p/S/individual/2024-01-01_00-31-00.parquet"]
+
+
+@pytest.mark.parametrize(("late", "n"), [("merge", 3), ("overwrite", 1)])
+def test_late_files(lake, late, n):
+    lake.put("2024-01-01_00-00-00")
+    lake.put("2024-01-01_00-20-00")
+    lake.compact()
+    lake.put("2024-01-01_00-07-00", rows=1)
+    lake.compact(late=late)
+    assert len(lake.ids()) == n
+    lake.put("2024-01-01_00-08-00", table=pa.table({"other": [1]}))
+    assert lake.compact(late="merge")[0].quarantined and len(lake.ids()) == n
+
+
+def test_late_files_of_foreign_types_merge(lake):
+    kind = pa.schema([pa.field("id", pa.string(), nullable=False), pa.field("t", pa.uint64())])
+    for m in (0, 20):
+        lake.put(f"2024-01-01_00-{m:02d}-00", table=pa.table({"id": ["a"], "t": [1]}, schema=kind))
+    lake.compact()
+    lake.put("2024-01-01_00-03-00", table=pa.table({"id": ["b"], "t": [2]}, schema=kind))
+    lake.compact()
+    assert pq.read_table(lake.root / HOUR).to_pylist() == [{"id": "a", "t": 1}, {"id": "b", "t": 2}]
+
+
+def test_only_the_directory_is_renamed(spark, tmp_path):
+    lake = Files(create_storage(spark, "filesystem", base_directory=str(tmp_path)), tmp_path, "individual")
+    lake.put("2024-01-01_00-00-00", raw=b"junk")
+    lake.put("2024-01-01_00-20-00")
+    lake.compact()
+    assert lake.names("error") == ["individual/S/error/2024-01-01_00-00-00.parquet"]
+
+
+def test_a_run_that_died_is_finished(lake):
+    lake.put("2024-01-01_00-00-00")
+    lake.put("2024-01-01_00-05-00")
+    lake.put("2024-01-01_00-20-00")
+    lake.compact()
+    whole = lake.ids()
+    # as if it had died after moving the object and deleting the first input
+    lake.put("2024-01-01_00-05-00")
+    manifest = {"staged": "p/S/_staging/gone.parquet", "output": HOUR, "inputs": ["p/S/individual/2024-01-01_00-00-00.parquet", "p/S/individual/2024-01-01_00-05-00.parquet"], "quarantine": []}
+    lake.store.save_bytes(json.dumps(manifest).encode(), "p/S/_manifests/x.json")
+    assert lake.compact() == [] and lake.ids() == whole
+    assert lake.names("individual") == ["p/S/individual/2024-01-01_00-20-00.parquet"]
+
+
+def test_a_lock_keeps_others_out(lake):
+    lake.put("2024-01-01_00-00-00")
+    lake.put("2024-01-01_00-20-00")
+    with C.lock(lake.store, "p/S") as mine:
+        assert mine and lake.compact() == []
+    assert len(lake.compact()) == 1
+
+
+def test_names_and_options(lake):
+    lake.put("2024-01-01_00-00-00")
+    lake.put("2024-01-01_00-20-00")
+    (done,) = lake.compact(filename_format="{group_time}.parquet", time_format="%H%M")
+    assert done.output == "p/S/2024-01-01/0000.parquet"
+    with pytest.raises(ValueError, match="late"):
+        lake.compact(late="x")
+    lake.put("2024-01-01_00-01-00")
+    with pytest.raises(ValueError, match="schema_mode"):
+        lake.compact(schema_mode="x")
+    assert not list(lake.root.rglob("_lock"))
+
+
+def test_frames_that_pandas_wrote(lake):
+    for m in (0, 5, 20):
+        path = lake.root / f"p/S/individual/2024-01-01_00-{m:02d}-00.parquet"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        pd.DataFrame({"id": ["a"], "fetch_time": [pd.Timestamp("2024-01-01")], "value": [m]}).to_parquet(path)
+    assert lake.compact()[0].n_rows == 2 and "fetch_time" in pq.read_schema(lake.root / HOUR).names
+
+
+def test_brotli_and_nanoseconds_are_read(lake):
+    table = pa.table({"id": ["a", "b"], "t": pa.array([1_704_067_200_000_000_000, None], pa.timestamp("ns")), "n": pa.array([1, 2], pa.uint32())})
+    for m in (0, 5, 20):
+        path = lake.root / f"p/S/individual/2024-01-01_00-{m:02d}-00.parquet"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        pq.write_table(table, path, compression="brotli", version="2.6")
+    assert lake.compact()[0].n_rows == 4
+    assert pq.read_table(lake.root / HOUR).column("t").cast("int64").to_pylist() == [1_704_067_200_000_000, None] * 2
+    pq.write_table(table, lake.root / "p/S/individual/2024-01-01_00-01-00.parquet", compression="brotli", version="2.6")
+    assert lake.compact()[0].quarantined == () and len(lake.ids()) == 6

@@ -40,8 +40,26 @@ class Compacted:
     quarantined: tuple[str, ...]
 
 
+def _readable(schema: pa.Schema) -> pa.Schema:
+    """The schema with microseconds for nanoseconds and signed numbers for unsigned ones, and without metadata."""
+
+    def kind(t: pa.DataType) -> pa.DataType:
+        if pa.types.is_timestamp(t):
+            return pa.timestamp("us", t.tz)
+        if pa.types.is_unsigned_integer(t):
+            return pa.int64() if t.bit_width >= 32 else pa.int32()
+        if pa.types.is_dictionary(t):
+            return kind(t.value_type)
+        return t
+
+    return pa.schema([pa.field(f.name, kind(f.type)) for f in schema])
+
+
 def footers(spark: SparkSession, uris: list[str]) -> DataFrame:
-    """(path, readable, n_rows, footer): each file's row count and schema, without metadata, read on the executors."""
+    """(path, readable, n_rows, footer, arrow): each file's row count and schema, without metadata, read on the executors.
+
+    ``arrow`` is null where Spark can read the file itself; else, for nanoseconds and Brotli, it is the schema to read it with.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.parquet as pq
@@ -51,18 +69,45 @@ def footers(spark: SparkSession, uris: list[str]) -> DataFrame:
             for content in batch.column("content").to_pylist():
                 try:
                     f = pq.ParquetFile(io.BytesIO(content))
-                    rows.append((True, f.metadata.num_rows, f.schema_arrow.remove_metadata().to_string(show_field_metadata=False)))
+                    meta, schema = f.metadata, f.schema_arrow.remove_metadata()
+                    footer = schema.to_string(show_field_metadata=False)
+                    odd = "[ns" in footer or any(meta.row_group(g).column(c).compression == "BROTLI" for g in range(meta.num_row_groups) for c in range(meta.num_columns))
+                    rows.append((True, meta.num_rows, footer, _readable(schema).serialize().to_pybytes() if odd else None))
                 except (pa.ArrowException, OSError):
-                    rows.append((False, 0, ""))
-            readable, n, footer = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(readable, pa.bool_()), pa.array(n, pa.int64()), pa.array(footer, pa.string())], ["path", "readable", "n_rows", "footer"])
+                    rows.append((False, 0, "", None))
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
+            kinds = (pa.bool_(), pa.int64(), pa.string(), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("path"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], ["path", "readable", "n_rows", "footer", "arrow"])
+
+    files = spark.read.format("binaryFile").load(uris).select("path", "content")
+    return files.mapInArrow(run, "path string, readable boolean, n_rows long, footer string, arrow binary")
+
+
+def read_foreign(spark: SparkSession, uris: list[str], arrow: bytes) -> DataFrame:
+    """Files that Spark's own reader does not take, read by Arrow on the executors, one at a time, with ``_key``."""
+    from pyspark.sql.pandas.types import from_arrow_schema
+
+    schema = pa.ipc.read_schema(pa.py_buffer(arrow))
+    kind = T.StructType([T.StructField("_path", T.StringType()), *from_arrow_schema(schema, prefer_timestamp_ntz=True).fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.parquet as pq
+
+        wanted = pa.ipc.read_schema(pa.py_buffer(arrow))
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                for rows in pq.ParquetFile(io.BytesIO(content)).iter_batches():
+                    table = pa.Table.from_batches([rows]).select(wanted.names).cast(wanted, safe=False)
+                    named = table.add_column(0, "_path", pa.array([path] * rows.num_rows, pa.string()))
+                    yield from named.combine_chunks().to_batches()
 
     files = spark.read.format("binaryFile").load(uris).select("path", "content")
-    return files.mapInArrow(run, "path string, readable boolean, n_rows long, footer string")
+    return files.mapInArrow(run, kind).withColumn("_key", _key(F.col("_path"))).drop("_path")
 
 
 def judged(files: DataFrame, schema_mode: str = "strict") -> DataFrame:
-    """(group_time, path, readable, n_rows, footer, ...) with ``good``: whether a file goes into its bucket's object.
+    """(group_time, path, readable, n_rows, footer, ...) with ``kind``, the schema as Spark
+    reads it, and ``good``: whether a file goes into its bucket's object.
 
     The first readable file with rows, by path, fixes the bucket's schema. In strict mode a file with rows whose columns
     differ by name, order, type or nullability is not good; an empty one is only passed over. With ``promote`` all readable
@@ -72,13 +117,12 @@ def judged(files: DataFrame, schema_mode: str = "strict") -> DataFrame:
         raise ValueError(f"schema_mode is strict or promote, not {schema_mode!r}")
     full = F.col("readable") & (F.col("n_rows") > 0)
     # an object that this module wrote has no unsigned numbers and nothing that cannot be null
-    merged, footer = F.col("path").startswith("0"), F.col("footer")
-    loose = F.regexp_replace(F.regexp_replace(footer, " not null", ""), "uint(32|64)", "int64")
-    footer = F.when(F.max(merged).over(Window.partitionBy("group_time")), loose).otherwise(footer)
-    files = files.withColumn("footer", footer)
-    first = F.first(F.when(full, F.col("footer")), ignorenulls=True).over(Window.partitionBy("group_time").orderBy("path").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    same = F.lit(True) if schema_mode == "promote" else (F.col("n_rows") == 0) | (F.col("footer") == F.col("_first"))
-    return files.withColumn("_first", first).withColumn("good", F.col("readable") & F.coalesce(same, F.lit(True))).drop("_first")
+    merged = F.max(F.col("path").startswith("0")).over(Window.partitionBy("group_time"))
+    files = files.withColumn("kind", F.regexp_replace(F.regexp_replace("footer", " not null", ""), "uint(32|64)", "int64")).withColumn("kind", F.regexp_replace("kind", r"timestamp\[ns", "timestamp[us"))
+    files = files.withColumn("_held", F.when(merged, F.col("kind")).otherwise(F.col("footer")))
+    first = F.first(F.when(full, F.col("_held")), ignorenulls=True).over(Window.partitionBy("group_time").orderBy("path").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    same = F.lit(True) if schema_mode == "promote" else (F.col("n_rows") == 0) | (F.col("_held") == F.col("_first"))
+    return files.withColumn("_first", first).withColumn("good", F.col("readable") & F.coalesce(same, F.lit(True))).drop("_first", "_held")
 
 
 def closed_groups(files: DataFrame, minutes: int, zone: str = "UTC", force: bool = False) -> DataFrame:
@@ -190,21 +234,26 @@ def compact(
         known = spark.createDataFrame([(p, g, order[p], storage.key(p)) for p, g in group_of.items()], "file string, group_time timestamp, sort string, _key string")
         both = known.join(found.withColumn("_key", _key(F.col("path"))).drop("path"), "_key", "left").drop("_key").withColumnRenamed("sort", "path")
         rows = judged(both.fillna({"readable": False, "n_rows": 0, "footer": ""}), schema_mode).collect()
-        aside, batch = f"{directory}/_staging/{uuid.uuid4().hex}", []
-        by_schema: dict[str, list] = {}
+        aside = f"{directory}/_staging/{uuid.uuid4().hex}"
+        by_schema: dict[tuple[str, str, bool], list] = {}
         for r in rows:
             if r["good"] and r["n_rows"]:
-                by_schema.setdefault(r["footer"], []).append(r)
+                by_schema.setdefault((r["kind"] if schema_mode == "strict" else "", r["footer"], r["arrow"] is None), []).append(r)
         number = {g: i for i, g in enumerate(sorted(outputs))}
-        for files in by_schema.values():
-            read = _plain(spark.read.parquet(*[storage.uri(r["file"]) for r in files]).withColumn("_key", _key(F.col("_metadata.file_path"))))
-            place = spark.createDataFrame([(storage.key(r["file"], encoded=True), number[r["group_time"]], r["path"]) for r in files], "_key string, _group int, _sort string")
-            batch.append(read.join(F.broadcast(place), "_key").drop("_key"))  # a row per file of a listing
-        if batch:
-            whole = union_all(batch, promote=True) if schema_mode == "promote" else None
-            for k, df in enumerate([whole] if whole is not None else batch):
-                out = df.repartition(max(1, min(len(number), 2000)), "_group").sortWithinPartitions("_group", "_sort").drop("_sort")
-                out.write.partitionBy("_group").options(**parquet_options(compression)).parquet(storage.uri(f"{aside}/{k}"))
+        by_kind: dict[str, list[DataFrame]] = {}
+        for (kind, *_), files in by_schema.items():
+            uris, foreign = [storage.uri(r["file"]) for r in files], files[0]["arrow"]
+            if foreign is None:
+                read = _plain(spark.read.parquet(*uris).withColumn("_key", _key(F.col("_metadata.file_path"))))
+            else:
+                read = read_foreign(spark, uris, bytes(foreign))
+            place = spark.createDataFrame([(storage.key(r["file"], encoded=foreign is None), number[r["group_time"]], r["path"]) for r in files], "_key string, _group int, _sort string")
+            by_kind.setdefault(kind, []).append(read.join(F.broadcast(place), "_key").drop("_key"))  # a row per file of a listing
+        # files of a bucket are of one kind, unless kinds are promoted to one
+        for k, frames in enumerate(by_kind.values()):
+            df = union_all(frames, promote=schema_mode == "promote")
+            out = df.repartition(max(1, min(len(number), 2000)), "_group").sortWithinPartitions("_group", "_sort").drop("_sort")
+            out.write.partitionBy("_group").options(**parquet_options(compression)).parquet(storage.uri(f"{aside}/{k}"))
         staged = {}
         for path in storage.list_files(aside, "part-*.parquet", recursive=True):
             staged[int(path.split("_group=")[1].split("/")[0])] = path
