@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import lower_ascii, row_key, words
+from .shared import held, lower_ascii, row_key, words
 
 WINDOW = 10
 #: Windows of a benchmark that are broadcast, about 200 bytes each.
@@ -91,19 +91,17 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, action: str = "do
     """
     if action not in ("document", "span"):
         raise ValueError(f"action is document or span, not {action!r}")
-    keys = row_key(F.col("doc_id"), F.col("text"))
-    keyed = docs.select("*", *keys)
+    keyed = held(docs, *row_key(F.col("doc_id"), F.col("text")))
     hit = contamination(docs, benchmark, window).where("n_hit > 0").select("_k1", "_k2", F.col("spans").alias("_spans")).dropDuplicates(["_k1", "_k2"])
     if action == "document":
-        return keyed.join(hit, ["_k1", "_k2"], "left_anti").select(*docs.columns)
-    out = keyed.join(hit, ["_k1", "_k2"], "left")
-    raw, gaps = words(F.col("text")), F.split("text", r"[0-9A-Za-z\x{80}-\x{10FFFF}]+")
+        return keyed.join(hit, ["_k1", "_k2"], "left_anti").select("_row.*")
+    out, text = keyed.join(hit, ["_k1", "_k2"], "left"), F.col("_row.text")
+    raw, gaps = words(text), F.split(text, r"[0-9A-Za-z\x{80}-\x{10FFFF}]+")
     kept = F.transform(raw, lambda w, i: F.when(F.exists("_spans", lambda s: (i + 1 >= s["a"]) & (i + 1 <= s["b"])), F.lit("")).otherwise(F.concat(w, F.get(gaps, i + 1))))
-    cut = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.concat(F.get(gaps, F.lit(0)), F.array_join(kept, "")))
-    out = out.withColumn("text", cut)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text")))
-    return out.select(*docs.columns)
+    cut = F.when(F.col("_spans").isNull(), text).otherwise(F.concat(F.get(gaps, F.lit(0)), F.array_join(kept, "")))
+    out = out.select("_row", "_spans", cut.alias("_text"))
+    new = {"text": F.col("_text"), "n_chars": F.when(F.col("_spans").isNull(), F.col("_row.n_chars")).otherwise(F.length("_text")) if "n_chars" in docs.columns else None}
+    return out.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if new.get(c) is not None else F.col("_row")[c].alias(c) for c in docs.columns])
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .bytewords import PLAIN, Hasher, U, chunks, mixed, seeds, string_array, words_of
 from .components import components
-from .shared import row_key, shared_dir, small, staged
+from .shared import held, row_key, shared_dir, small, staged
 
 SHINGLE, THRESHOLD, RECALL, HASHES = 5, 0.8, 0.9999, 192
 #: Shingles and nodes of a block; two blocks meet in a task.
@@ -252,10 +252,10 @@ def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, shingle:
 
     Documents without words stay as they are, but for rows that repeat id and text.
     """
-    keyed = docs.select("*", *row_key(F.col("doc_id"), F.col("text")))
+    keyed = held(docs, *row_key(F.col("doc_id"), F.col("text")))
     rows = jaccard_classes(docs, threshold, shingle)
     none = rows.where("root IS NULL").select("_k1", "_k2")
     least = rows.where("root IS NOT NULL").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "_k1", "_k2")).alias("least"))
     kept = least.select("least._k1", "least._k2").union(none)
     first = keyed.join(kept, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"])
-    return first.select(*docs.columns)
+    return first.select("_row.*")

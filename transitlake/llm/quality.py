@@ -13,6 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import held
 from .spotsigs import ANCHORS
 
 #: Labelled rows that a fit uses at most, chosen by a hash of their id; with 20 statistics each, 3 MB on the driver.
@@ -34,10 +35,9 @@ def _count(pattern: str) -> Column:
 
 
 def with_statistics(docs: DataFrame, text: str = "text") -> tuple[DataFrame, list[str]]:
-    """``docs`` and its statistics, columns ``_s_...``; a null or empty text has zeros."""
+    """``docs`` in the one column ``_row``, and its statistics, columns ``_s_...``; a null or empty text has zeros."""
     common = sorted({w for ws in ANCHORS.values() for w in ws})
-    names = docs.columns
-    docs = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+    docs = held(docs, F.coalesce(F.col(text), F.lit("")).alias("_text"))
     docs = docs.withColumn("_words", F.array_remove(F.split("_text", r"\s+"), "")).withColumn("_lines", F.array_remove(F.split("_text", r"\s*\n\s*"), ""))
     docs = docs.withColumns({
         "_n": F.length("_text").cast("double"), "_w": F.size("_words").cast("double"), "_l": F.size("_lines").cast("double"),
@@ -54,7 +54,7 @@ def with_statistics(docs: DataFrame, text: str = "text") -> tuple[DataFrame, lis
         "ends": _share(F.col("_ends"), w), "commas": _share(F.col("_commas"), w), "bars": _share(F.col("_bars"), w), "shouts": _share(F.col("_shouts"), w), "marks": _share(F.col("_marks"), w),
         "kinds": _share(F.col("_kinds"), F.sqrt(w)), "fresh": _share(F.col("_kinds"), w), "fresh_lines": _share(F.col("_line_kinds"), lines), "same": _share(F.col("_same"), w), "common": _share(F.col("_common"), w),
     }
-    return docs.select(*names, *[v.cast("double").alias(f"_s_{k}") for k, v in stats.items()]), [f"_s_{k}" for k in stats]
+    return docs.select("_row", *[v.cast("double").alias(f"_s_{k}") for k, v in stats.items()]), [f"_s_{k}" for k in stats]
 
 
 @dataclass(frozen=True)
@@ -188,15 +188,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out()).groupBy("doc_id").agg(F.min(label).alias("_y"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows, names = with_statistics(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "text", "_y"))  # `sample` rows of 12 bytes
-    rows = rows.select("_y", "doc_id", *names).orderBy(F.xxhash64("doc_id"), "doc_id", *names).limit(sample).toPandas()
+    rows = rows.select("_row._y", "_row.doc_id", *names).orderBy(F.xxhash64("doc_id"), "doc_id", *names).limit(sample).toPandas()
     return fit(rows[names].to_numpy(float), rows["_y"].to_numpy(), names)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with ``score`` and ``predicted``; a null or empty text is scored like any other, by zeros."""
+    """``docs`` with ``score`` and ``predicted``, in place of any such columns; a null or empty text is scored like any other, by zeros."""
     names = [c for c in docs.columns if c not in ("score", "predicted")]
-    rows, _ = with_statistics(docs.select(*names))
-    return rows.withColumn("score", model.column()).select(*names, "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    rows, _ = with_statistics(docs)
+    return rows.select("_row", model.column().alias("score")).select(*[F.col("_row")[c].alias(c) for c in names], "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -206,7 +206,6 @@ def scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without those predicted 0; all columns stay."""
-    keep = docs.columns
     model = train(docs, labels)
     rows, _ = with_statistics(docs)
-    return rows.where(model.column() >= threshold).select(*keep)
+    return rows.where(model.column() >= threshold).select("_row.*")

@@ -34,6 +34,11 @@ def row_key(*cols: Column) -> list[Column]:
     return [F.xxhash64(*cols).alias("_k1"), F.xxhash64(F.lit(7919), *reversed(cols)).alias("_k2")]
 
 
+def held(df: DataFrame, *cols: Column) -> DataFrame:
+    """All columns of ``df`` in one, ``_row``, beside ``cols``; no name among them can clash then. ``select("_row.*")`` undoes it."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *cols)
+
+
 def words(text: Column) -> Column:
     """Words of a text in their own case: runs of digits, ASCII letters and characters beyond ASCII; null has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), NO_WORD), "")
