@@ -68,6 +68,39 @@ def likeness(a: Column, b: Column, threshold: float = 0.0) -> Column:
     return F.when((most > 0) & (least < most * threshold), F.lit(0.0)).otherwise(exact).cast("double") if threshold else exact.cast("double")
 
 
+def search(docs: DataFrame, queries: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(query_id, doc_id, likeness) of every query and document whose likeness is at least ``threshold``, above 0.
+
+    Equal signature sets are compared once. Sets are partitioned by length: runs of lengths so that like sets lie in the
+    same run or in neighbours. A set's prefix, of its signatures in their order, is long enough that like sets share a
+    signature of their prefixes; these meet in a shuffle, and are compared in full where their lengths allow it. Texts
+    without words are like one another only, and are left out. Null ids can match like others.
+    """
+    if not 0 < threshold <= 1:
+        raise ValueError("a threshold lies above 0 and is 1 at most")
+
+    def sets(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        full = with_signatures(df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text", "sigs").where(F.size("sigs") > 0)
+        full = full.select("doc_id", "sigs", *row_key(F.col("sigs")))
+        return full.groupBy("_k1", "_k2").agg(F.any_value("sigs").alias("sigs")), full.select("doc_id", "_k1", "_k2")
+
+    def prefixes(df: DataFrame, reach: int) -> DataFrame:
+        n = F.size("sigs")
+        run = F.floor(F.log(n.cast("double")) / F.log(F.lit(1 / min(threshold, 0.999)))).cast("int")
+        head = F.slice("sigs", F.lit(1), F.least(n, n - F.ceil(n * threshold - 1e-9).cast("int") + 1))
+        out = df.select("_k1", "_k2", "sigs", F.explode(head).alias("sig"), run.alias("run"))
+        return out.withColumn("run", F.explode(F.sequence(F.col("run") - reach, F.col("run") + reach))) if reach else out
+
+    (mine, my_ids), (all_sets, ids) = sets(queries), sets(docs)
+    a = prefixes(mine, 1).select("sig", "run", F.col("_k1").alias("q1"), F.col("_k2").alias("q2"), F.col("sigs").alias("q"))
+    near = likeness(F.col("q"), F.col("sigs"), threshold)
+    met = a.join(prefixes(all_sets, 0), ["sig", "run"]).where(F.least(F.size("q"), F.size("sigs")) >= threshold * F.greatest(F.size("q"), F.size("sigs")) - 1e-9)
+    # of the shared signatures only the first of both prefixes brings the pair
+    met = met.where(F.col("sig") == F.get(F.array_intersect("q", "sigs"), F.lit(0))).select("q1", "q2", "_k1", "_k2", near.alias("likeness")).where(F.col("likeness") >= threshold)
+    met = met.join(ids, ["_k1", "_k2"]).drop("_k1", "_k2")
+    return met.join(my_ids.select(F.col("doc_id").alias("query_id"), F.col("_k1").alias("q1"), F.col("_k2").alias("q2")), ["q1", "q2"]).select("query_id", "doc_id", "likeness")
+
+
 def _bounds(docs: DataFrame, n: int) -> list:
     """Some document ids, ascending, that cut the documents into about ``n`` even runs."""
     found = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 20 * n).alias("b")).first()["b"] if n > 1 else None
