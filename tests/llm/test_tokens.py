@@ -1,0 +1,135 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from transitlake.llm import pack as P
+from transitlake.llm import tokens as T
+
+PATH = T.default_tokenizer()
+
+
+@pytest.fixture(scope="module")
+def plain():
+    t = Tokenizer.from_file(PATH)
+    t.encode_special_tokens = True
+    return lambda text: t.encode(text or "", add_special_tokens=False).ids
+
+
+PIECES = ["a", " ", "  ", "\n", "\t", "'s", "É", "x1", "!!", ".", ",", "|", "\x1c", "\x85", "　", "​", "<|endoftext|>", "漢", "😀", "-", "\r\n", "_", "word", "ſ", "ÿ", "١", "²", "'", "d ", "e\n"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=12).map("".join) | st.text(max_size=30))
+def test_encoder_equals_the_tokenizer(plain, text):
+    encoder = T.encoder_of(PATH)
+    assert np.frombuffer(encoder([text], 2)[0], encoder.width).tolist() == [*plain(text), 2]
+
+
+def test_memory_is_bounded(plain, monkeypatch):
+    monkeypatch.setattr(T, "REMEMBERED", 10)
+    encoder = T.Encoder(PATH)
+    for k in range(5):
+        texts = [f"alpha{k} beta{i} gamma. delta\nEpsilon" for i in range(20)]
+        assert [np.frombuffer(x, encoder.width).tolist()[:-1] for x in encoder(texts, 2)] == [plain(t) for t in texts]
+    assert len(encoder.known) <= 120
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def by_id(docs):
+    return sorted(((r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()), key=lambda x: (x[0] is not None, x[0] or 0))
+
+
+@pytest.mark.parametrize("partitions", [None, 1, 9])
+def test_files(spark, docs, plain, tmp_path, partitions):
+    folder = f"file://{tmp_path}/tokens"
+    parts = T.write_tokens(docs, folder, 2, partitions=partitions)
+    got = sorted([tuple(r) for r in T.read_tokens(parts, folder).collect()], key=lambda r: r[1])
+    want, at = [], 0
+    for doc, text in by_id(docs):
+        ids = [*plain(text), 2]
+        want.append((doc, at, len(ids), crc(ids)))
+        at += len(ids)
+    assert got == want
+    whole = np.concatenate([np.memmap(p, "<u2", "r") for p in sorted((tmp_path / "tokens").glob("*.bin"))])
+    index = [np.memmap(p, "<u8", "r") for p in sorted((tmp_path / "tokens").glob("*.idx"))]
+    assert len(whole) == at and index[0][0] == 0 and index[-1][-1] == at
+    assert all(a[-1] == b[0] for a, b in zip(index, index[1:], strict=False))
+
+
+def test_files_of_nothing(spark, empty, tmp_path):
+    assert T.token_files(empty, folder=str(tmp_path / "t")).collect() == []
+
+
+def check_packing(rows, ids, limits):
+    by_doc, by_sequence = {}, {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for doc, pieces in by_doc.items():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.start):
+            assert r.start == at and r.length > 0 and r.doc_tokens == len(ids[doc]) and r.ids_crc32 == crc(ids[doc][at : at + r.length])
+            at += r.length
+        assert at == len(ids[doc])
+    padding = 0
+    for places in by_sequence.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= limits.tokens and len(places) <= limits.segments
+        padding += limits.tokens - at if at & (at - 1) else 0
+    assert set(by_doc) == set(ids)
+    return padding, len(by_sequence)
+
+
+@pytest.mark.parametrize("limits", [P.Limits(), P.Limits(64, 3, 64), P.Limits(16, 16, 7)])
+def test_documents_are_packed_whole(spark, plain, prose, limits):
+    r = random.Random(5)
+    texts = {i: prose(i, r.choice([0, 1, 5, 40, 300, 3000])) for i in range(120)} | {1000: None}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(2)
+    rows = P.pack_documents(df, limits, 1, with_ids=True, pool=32).collect()
+    padding, n = check_packing(rows, {i: [*plain(t), 1] for i, t in texts.items()}, limits)
+    assert all(len(r.ids) == r.length and crc(r.ids) == r.ids_crc32 for r in rows)
+    if limits.loss_tokens == limits.tokens == 2048:
+        assert padding == 0
+
+
+def test_edge_cases_of_packing(docs, empty):
+    assert P.pack_documents(empty).collect() == []
+    rows = P.pack_documents(docs.coalesce(1)).collect()
+    assert sum(r.length for r in rows if r.doc_id == 6) == 2 * next(r.doc_tokens for r in rows if r.doc_id == 6)
+    assert [r.doc_tokens for r in rows if r.doc_id in (2, 3, 10)] == [1, 1, 1]
+
+
+def test_examples_are_never_cut(spark):
+    r = random.Random(1)
+    limits = P.Limits(100, 4, 50)
+    sizes = [(f"e{i}", n := r.randint(0, 100), r.randint(0, min(n, 50))) for i in range(500)]
+    df = spark.createDataFrame([*sizes, (None, 5, None), ("z", None, None)], "key string, tokens int, loss_tokens int").withColumnRenamed("key", "key")
+    rows = P.pack_pieces(df.coalesce(1), limits, pool=64).collect()
+    assert sorted((x.key or "", x.tokens, x.loss_tokens) for x in rows) == sorted([(k, n, m) for k, n, m in sizes if n] + [("", 5, 0)])
+    held = {}
+    for x in sorted(rows, key=lambda x: x.offset):
+        n, m, s = held.get(x.sequence_id, (0, 0, 0))
+        assert x.offset == n
+        held[x.sequence_id] = (n + x.tokens, m + x.loss_tokens, s + 1)
+    assert all(n <= 100 and m <= 50 and s <= 4 for n, m, s in held.values())
+    # no worse than a tenth over what tokens, loss and segments need at the least
+    least = max(sum(n for n, _, _ in held.values()) / 100, sum(m for _, m, _ in held.values()) / 50, sum(s for _, _, s in held.values()) / 4)
+    assert len(held) <= 1.1 * least + 1
+
+
+def test_what_fits_nowhere_raises():
+    with pytest.raises(ValueError, match="fits in no sequence"):
+        list(P.Packer(P.Limits(10, 2, 5), cut=False).feed("a", 5, 6))
+    with pytest.raises(ValueError, match="all of its tokens"):
+        list(P.Packer(P.Limits(10, 2, 5), cut=True).feed("a", 5, 2))

@@ -35,10 +35,11 @@ class Limits:
 
 
 class Packer:
-    """Feeds on (key, tokens, loss tokens) and yields (key, start, length, sequence, offset).
+    """Feeds on (key, tokens, loss tokens) and yields (key, start, length, sequence, offset), a sequence's rows once it is closed.
 
     Without ``cut`` a piece longer than a sequence, or with more loss-bearing tokens than one may have, raises ValueError.
-    With it, loss-bearing tokens must be all or none of a piece, so that every part's share is known.
+    With it, loss-bearing tokens must be all or none of a piece, so that every part's share is known; and what is left for
+    the last sequence is cut into sequences of powers of two, which need no padding.
     """
 
     def __init__(self, limits: Limits, cut: bool, pool: int = POOL):
@@ -48,40 +49,48 @@ class Packer:
         self.start = np.zeros(pool, np.int64)
         self.keys: list = [None] * pool
         self.free = list(range(pool))[::-1]
-        self.sequence, self.left, self.offset = 0, self.shares.copy(), 0
-
-    def _next(self) -> None:
-        self.sequence, self.left, self.offset = self.sequence + 1, self.shares.copy(), 0
-
-    def _place(self, i: int, tokens: int) -> tuple:
-        loss = tokens if self.demand[i, 2] else 0
-        if tokens == self.demand[i, 0]:
-            loss = self.demand[i, 2]
-        row = (self.keys[i], int(self.start[i]), tokens, self.sequence, self.offset)
+        self.issued, self.left = 0, self.shares.copy()
+        self.open: list[tuple] = []
+
+    def issue(self) -> int:
+        """The number of a new sequence."""
+        self.issued += 1
+        return self.issued - 1
+
+    def _close(self) -> Iterator[tuple]:
+        """The rows of the open sequence, which is then empty again."""
+        if self.open:
+            sequence, offset = self.issue(), 0
+            for key, start, tokens in self.open:
+                yield key, start, tokens, sequence, offset
+                offset += tokens
+        self.open, self.left = [], self.shares.copy()
+
+    def _place(self, i: int, tokens: int) -> None:
+        loss = self.demand[i, 2] if tokens == self.demand[i, 0] else tokens if self.demand[i, 2] else 0
+        self.open.append((self.keys[i], int(self.start[i]), tokens))
         self.left -= (tokens, 1, loss)
-        self.offset += tokens
         self.start[i] += tokens
         self.demand[i] -= (tokens, 0, loss)
         if self.demand[i, 0] == 0:
             self.demand[i] = 0
             self.keys[i] = None
             self.free.append(i)
-        return row
 
     def _step(self) -> Iterator[tuple]:
-        """Places one waiting piece, or part of one, or opens the next sequence."""
+        """Places one waiting piece, or part of one, or closes the open sequence."""
         fits = (self.demand[:, 0] > 0) & (self.demand <= self.left).all(axis=1)
         if fits.any():
             score = np.where(fits, (self.demand / self.shares) @ (self.left / self.shares), -1)
             i = int(score.argmax())
-            yield self._place(i, int(self.demand[i, 0]))
+            self._place(i, int(self.demand[i, 0]))
         elif self.cut and min(self.left) >= 1:
             i = int(self.demand[:, 0].argmax())
-            yield self._place(i, int(min(self.left[0], self.left[2]) if self.demand[i, 2] else self.left[0]))
+            self._place(i, int(min(self.left[0], self.left[2]) if self.demand[i, 2] else self.left[0]))
         else:
-            self._next()
+            yield from self._close()
         if self.left[0] <= 0 or self.left[1] <= 0:
-            self._next()
+            yield from self._close()
 
     def feed(self, key, tokens: int, loss: int) -> Iterator[tuple]:
         if tokens <= 0:
@@ -96,12 +105,22 @@ class Packer:
         self.keys[i], self.start[i], self.demand[i] = key, 0, (tokens, 1, loss)
 
     def rest(self) -> Iterator[tuple]:
-        """What still waits. Where pieces may be cut, the last sequences end at powers of two, which need no padding."""
-        while (waiting := int(self.demand[:, 0].sum())) > 0:
-            power = 1 << (self.offset + waiting).bit_length() - 1
-            if self.cut and self.offset < power < self.offset + self.left[0]:
-                self.left[0] = power - self.offset
+        """What still waits, and what is open."""
+        while (self.demand[:, 0] > 0).any():
             yield from self._step()
+        total, pieces = sum(x[2] for x in self.open), self.open[::-1]
+        if self.cut and total < self.limits.tokens:
+            self.open = []
+            for power in [1 << i for i in reversed(range(total.bit_length())) if total >> i & 1]:
+                while power:
+                    key, start, tokens = pieces.pop()
+                    part = min(tokens, power)
+                    self.open.append((key, start, part))
+                    if part < tokens:
+                        pieces.append((key, start + part, tokens - part))
+                    power -= part
+                yield from self._close()
+        yield from self._close()
 
 
 def pack_pieces(pieces: DataFrame, limits: Limits = Limits(), pool: int = POOL) -> DataFrame:
@@ -172,10 +191,8 @@ def pack_documents(docs: DataFrame, limits: Limits = Limits(), end_id: int = 1,
             for doc_id, blob in zip(batch.column("doc_id").to_pylist(), encoder(batch.column("text").to_pylist(), end_id), strict=True):
                 ids, at = np.frombuffer(blob, encoder.width), 0
                 while len(ids) - at >= most:
-                    packer._next() if packer.offset else None
                     part = ids[at : at + most]
-                    out.append((doc_id, at, most, crc_of(part), len(ids), high + packer.sequence, 0) + ((part,) if with_ids else ()))
-                    packer._next()
+                    out.append((doc_id, at, most, crc_of(part), len(ids), high + packer.issue(), 0) + ((part,) if with_ids else ()))
                     at += most
                 place(packer.feed((doc_id, ids[at:], at), len(ids) - at, len(ids) - at))
             if out:
