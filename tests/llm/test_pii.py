@@ -1,0 +1,89 @@
+import hashlib
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from transitlake.llm import pii as P
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def passes(kind, s):
+    d = [int(c) for c in s if c in "0123456789"]
+    if kind == "ip":
+        return all(int(x) <= 255 for x in s.split("."))
+    if kind == "card":
+        doubled = [sum(divmod(2 * x, 10)) if i % 2 else x for i, x in enumerate(d[::-1])]
+        return 14 <= len(d) <= 19 and sum(doubled) % 10 == 0
+    return kind == "email" or 10 <= len(d) <= 15
+
+
+def brute(text):
+    found = [(m.start(), m.end(), k) for k, (kind, p) in enumerate(PLAIN.items()) for m in re.finditer(p, text) if passes(kind, m[0])]
+    return sorted(found, key=lambda s: (s[0], s[2]))
+
+
+BITS = ["1", "2", "25", "255", "256", "0", "007", ".", "..", "-", " ", "  ", "+", "@", "a", "b.c", "%", "_", "(", ")", "4111 1111 1111 1111", "4111-1111-1111-1111", "+1 (927) 555-7911", "10.0.0.1", "x@y.de", "\n", "é", "٣", "１"]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from(BITS), max_size=14).map("".join))
+def test_plain_reading_equals_the_patterns(text):
+    assert sorted(P.plain_spans(text)) == sorted(brute(text))
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from([*BITS, " at ", " dot com", "[at]", "(dot)", "one", " two ", "three four", "аbс", "​"]), max_size=14).map("".join))
+def test_plain_spans_stay(text):
+    base, every = P.all_spans(text)
+    assert set(base) <= set(every) and base == sorted(brute(text), key=lambda s: (s[0], s[2]))
+    for a, b, k in set(every) - set(base):
+        assert 0 <= a < b <= len(text) and all(b <= x or a >= y for x, y, _ in base)
+        assert P.KINDS[k]
+
+
+@pytest.mark.parametrize(("text", "found"), [
+    ("write joe [at] site [dot] com now", [("email", "joe [at] site [dot] com")]),
+    ("joe.x(at)mail.site.org", [("email", "joe.x(at)mail.site.org")]),
+    ("ask ann at mail dot example dot com today", [("email", "ann at mail dot example dot com")]),
+    ("jоhn@еxample.cоm", [("email", "jоhn@еxample.cоm")]),
+    ("ｊｏｅ＠ｓｉｔｅ．ｄｅ", [("email", "ｊｏｅ＠ｓｉｔｅ．ｄｅ")]),
+    ("j​oe@site.de", [("email", "oe@site.de")]),
+    ("joe@​site.de", [("email", "joe@​site.de")]),
+    ("+１ (９２７) ５５５－７９１１!", [("phone", "+１ (９２７) ５５５－７９１１")]),
+    ("+1 nine two seven five five five seven nine one one.", [("phone", "+1 nine two seven five five five seven nine one one")]),
+    ("card four one one one one one one one one one one one one one one one ok", [("card", "four one one one one one one one one one one one one one one one")]),
+    ("host 10[.]20[.]30[.]40", [("ip", "10[.]20[.]30[.]40")]),
+    ("１９２.168.0.1", [("ip", "１９２.168.0.1")]),
+    ("we met at noon. dot com was big. one two three four", []),
+    ("look at that dot over there", []),
+    ("À la carte – 12—13, naïve café", []),
+])
+def test_disguises(text, found):
+    assert [(P.KINDS[k], text[a:b]) for a, b, k in P.all_spans(text)[1]] == found
+
+
+def test_long_runs_take_linear_time():
+    for unit in ("a", "1", "a@", "1.", "+1", "1 ", "a.", "[", "one ", " dot ", "a at "):
+        P.all_spans(unit * (200_000 // len(unit)))
+
+
+def test_masks():
+    assert P.masked_text("mail x@y.de or 10.0.0.1, joe [at] a [dot] org.") == "mail <EMAIL> or <IP>, <EMAIL>."
+    assert P.masked_text("nothing") == "nothing" and P.masked_text("") == ""
+    assert not P.plain_spans(P.masked_text("+1 (927) 555-7911 4111 1111 1111 1111 a@b.c.d 1.2.3.4"))
+
+
+def test_query_and_edge_cases(docs, empty, spark):
+    df = docs.select("doc_id", "text").union(spark.createDataFrame([(50, "é x@y.de 10.0.0.1 joe [at] a [dot] org")], "doc_id long, text string"))
+    got = {r.doc_id: r for r in P.find(df).collect()}
+    base = "email:2:8,ip:9:17"
+    assert got[50].spans == base + ",email:18:38" and got[50].base_sha256 == hashlib.sha256(base.encode()).hexdigest() and (got[50].n_email, got[50].n_ip, got[50].n_card, got[50].n_phone) == (1, 1, 0, 0)
+    assert got[2].spans == got[3].spans == "" and got[2].base_sha256 == hashlib.sha256(b"").hexdigest() and P.find(df).count() == docs.count() + 1
+    assert P.find(empty).collect() == [] and P.mask(empty).collect() == []
+    masked = {r.doc_id: r for r in P.mask(docs).collect()}
+    assert P.mask(docs).columns == docs.columns and masked[2].text is None and masked[1].text == docs.where("doc_id = 1").first().text

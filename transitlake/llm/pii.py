@@ -136,7 +136,7 @@ def normal_form(text: str) -> Normal | None:
     odd = not text.isascii() and _ODD.search(text)
     low = text.lower()
     maybe_at = ("at" in low or "arroba" in low or "arobase" in low or "@" in low or "ät" in low) and any(x in low for x in ("dot", "punkt", "point", "punto", ".", "@"))
-    bracketed = maybe_at and any(x in text for x in "[({<") and _BRACKETED.search(text)
+    bracketed = any(x in text for x in "[({<") and _BRACKETED.search(text)
     spoken = maybe_at and any(x in low for x in (" dot ", " punkt ", " point ", " punto ")) and _SPOKEN.search(text)
     spelled = _SPELLED.search(text)
     if not (odd or bracketed or spoken or spelled):
