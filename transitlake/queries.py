@@ -20,6 +20,7 @@ from .operators import files as G
 from .plans import config as conf
 from .plans.schemas import SERVICES
 from .sources import feed
+from .sources.storage import Storage
 from .streaming.windows import closed_counts
 
 TWO = ("click", "view")
@@ -204,12 +205,39 @@ def conform_schema(spark, sf_dir):
     return E.conform(table, SERVICES["Shape"]).withColumn("encodedPolyline", F.col("encodedPolyline").isNull())
 
 
+def _folder(spark, name: str) -> str:
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
+    return f"{root.rstrip('/')}/transitlake-{name}-{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}"
+
+
+def compact_files(spark, sf_dir):
+    """Events landed as files, one per service and six hours, and compacted by day: the rows of the objects made."""
+    folder = _folder(spark, "lake")
+    store = Storage(spark, folder if ":" in folder else f"file://{folder}")
+    ev = _events(spark, sf_dir).select("event_id", "event_type", "value", F.date_format(tb.bucket(F.col("ts"), 360), "yyyy-MM-dd_HH-mm-ss").alias("stamp"))
+    ev.repartition("event_type", "stamp").write.partitionBy("event_type", "stamp").parquet(store.uri("_written"))
+    services = set()
+    for path in store.list_files("_written", "part-*.parquet", recursive=True):
+        _, service, stamp, _ = path.split("/")
+        service = service.split("=")[1]
+        services.add(service)
+        store.rename_file(path, f"p/{service}/individual/{stamp.split('=')[1]}.parquet")
+    parts = []
+    for service in sorted(services):
+        outputs = [store.uri(c.output) for c in C.compact(store, "p", service, 1440) if c.output]
+        if outputs:
+            parts.append(spark.read.parquet(*outputs).withColumn("service", F.lit(service)))
+    if not parts:
+        return spark.createDataFrame([], "event_id long, value double, service string, day string")
+    path = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    return C.union_all([df.select("event_id", "value", "service", path.alias("day")) for df in parts])
+
+
 def stream_closed(spark, sf_dir):
     """Closed hours, counted by a stream with a watermark that runs until the files at hand are through."""
     schema = _events(spark, sf_dir).schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
-    folder = f"{root.rstrip('/')}/transitlake-stream-{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}"
+    folder = _folder(spark, "stream")
     q = closed_counts(stream, 60).writeStream.outputMode("append").format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.schema("group_time timestamp, n long").parquet(f"{folder}/out").select(_stamp("group_time").alias("group_time"), "n")
@@ -220,7 +248,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         route_services, service_counts, stamp_fetch_time, coerce_int, flatten_one_level, format_path, parse_path, bucket_local_tz, localise, group_files,
         closed_groups, compact_closed, union_strict, union_promote, quarantine_split, schema_judgement, accumulate_batches, late_overwrite, effective_config,
-        decode_feed, decode_alerts, decode_trip_updates, conform_schema, stream_closed,
+        decode_feed, decode_alerts, decode_trip_updates, conform_schema, stream_closed, compact_files,
     )
 } | {f"bucket_{m}": _bucket(m) for m in (15, 50, 60, 1440, 2880)}
 
@@ -257,5 +285,6 @@ ORACLE: dict[str, str] = {
     "decode_alerts": "SELECT CAST(event_id AS VARCHAR) AS entity_id, CAST(1 + event_id % 4 AS INTEGER) AS severity, CAST(floor(epoch(ts)) AS BIGINT) AS period_start, true AS open_end FROM events WHERE event_id % 10 = 0",
     "decode_trip_updates": "SELECT CAST(event_id AS VARCHAR) AS entity_id, CAST(user_id AS VARCHAR) AS \"trip_tripId\", CAST(floor(epoch(ts)) AS BIGINT) * CASE WHEN event_id % 2 = 1 THEN -1 ELSE 1 END AS arrival FROM events WHERE event_id % 7 = 0",
     "conform_schema": "SELECT CAST(event_id AS VARCHAR) AS \"entityId\", CAST(floor(epoch(ts)) AS BIGINT) AS \"fetchTime\", event_type AS \"shapeId\", true AS \"encodedPolyline\" FROM events",
+    "compact_files": "WITH d AS (SELECT *, date_trunc('day', ts) AS b, max(date_trunc('day', ts)) OVER (PARTITION BY event_type) AS last FROM events) SELECT event_id, value, event_type AS service, strftime(b, '%Y-%m-%d') AS day FROM d WHERE last > b",
     "stream_closed": "WITH w AS (SELECT date_trunc('hour', ts) AS b, count(*) AS n FROM events GROUP BY 1) SELECT strftime(b, '%Y-%m-%d %H:%M:%S') AS group_time, n FROM w WHERE b + to_minutes(60) <= (SELECT max(ts) FROM events)",
 } | {f"bucket_{m}": f"SELECT event_id, strftime({_start(m)}, {_FMT}) AS group_time, strftime({_start(m)} + to_minutes({m}), {_FMT}) AS next_period FROM events" for m in (15, 50, 60, 1440, 2880)}
