@@ -72,3 +72,14 @@ def test_removal(spark, docs, empty):
 def test_main_path_is_native(spark, docs):
     plan = D.report(docs, bench(spark, ITEMS))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_shared_folders_are_released(spark):
+    import os
+
+    from transitlake.llm import shared
+
+    folder = shared.shared_dir(spark)
+    assert shared.staged(spark.range(3), folder, "x").count() == 3 and os.path.isdir(folder.removeprefix("file://"))
+    shared.release(spark)
+    assert not os.path.exists(folder.removeprefix("file://")) and not shared._FOLDERS

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 #: Runs of what is no word character; applied to a text whose case is still as it was.
 NO_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_FOLDERS: list[str] = []
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -19,7 +20,15 @@ def shared_dir(spark: SparkSession) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="transitlake-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/transitlake/{uuid.uuid4().hex}"
+    _FOLDERS.append(folder := f"{root.rstrip('/')}/transitlake/{uuid.uuid4().hex}")
+    return folder
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes all folders that ``shared_dir`` gave in this process; what was read from them is lost, token files too."""
+    while _FOLDERS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame, folder: str, name: str) -> DataFrame:
