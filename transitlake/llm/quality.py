@@ -54,7 +54,9 @@ def with_statistics(docs: DataFrame, text: str = "text") -> tuple[DataFrame, lis
         "ends": _share(F.col("_ends"), w), "commas": _share(F.col("_commas"), w), "bars": _share(F.col("_bars"), w), "shouts": _share(F.col("_shouts"), w), "marks": _share(F.col("_marks"), w),
         "kinds": _share(F.col("_kinds"), F.sqrt(w)), "fresh": _share(F.col("_kinds"), w), "fresh_lines": _share(F.col("_line_kinds"), lines), "same": _share(F.col("_same"), w), "common": _share(F.col("_common"), w),
     }
-    return docs.select("_row", *[v.cast("double").alias(f"_s_{k}") for k, v in stats.items()]), [f"_s_{k}" for k in stats]
+    # a filter on what rules say would be pushed below, with every statistic worked out anew for each term; it stops at the explode
+    one = F.explode(F.array(F.struct(*[v.cast("double").alias(f"_s_{k}") for k, v in stats.items()])))
+    return docs.select("_row", one.alias("_s")).select("_row", "_s.*"), [f"_s_{k}" for k in stats]
 
 
 @dataclass(frozen=True)
