@@ -5,17 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import staged
+from .shared import small, staged
 
 
-def _stars(edges: DataFrame) -> DataFrame:
-    """One large-star step, then one small-star step; every edge (a, b) has a > b."""
+#: Rows of the table of least neighbours that are broadcast, 16 bytes each.
+BROADCAST_ROWS = 500_000
+
+
+def _stars(edges: DataFrame, folder: str, name: str) -> DataFrame:
+    """One large-star step, then one small-star step; every edge (a, b) has a > b.
+
+    A hub can have a third of all nodes around it. The least neighbours are sums over them, and are written, so that the
+    joins on the hub are broadcast, or between two plain shuffles whose large partitions Spark splits.
+    """
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-    large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct()
-    least = large.groupBy("a").agg(F.min("b").alias("m"))
-    small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b")
-    return small.union(least.select("a", F.col("m").alias("b"))).distinct()
+    least = small(staged(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")), folder, f"{name}-least"), BROADCAST_ROWS)
+    large = staged(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct(), folder, f"{name}-large")
+    least = staged(large.groupBy("a").agg(F.min("b").alias("m")), folder, f"{name}-lower")
+    inner = large.join(small(least, BROADCAST_ROWS), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b")
+    return inner.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
 def components(edges: DataFrame, folder: str, name: str, rounds: int = 50) -> DataFrame:
@@ -31,7 +39,7 @@ def components(edges: DataFrame, folder: str, name: str, rounds: int = 50) -> Da
         tops = now.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
         if tops.where("n > 1").isEmpty() and now.join(tops.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
             break
-        now = staged(_stars(now), folder, f"{name}-{i}")
+        now = staged(_stars(now, folder, f"{name}-{i}"), folder, f"{name}-{i}")
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", F.col("b").alias("root")).distinct())
