@@ -23,6 +23,8 @@ CHAIN = 2
 THRESHOLD = 0.8
 #: Buckets a partition of the ordered documents gets, on average, so that hashing spreads them evenly.
 BUCKETS_PER_PARTITION = 8
+#: Runs of ids at most; their bounds, a number each, are part of the plan.
+MOST_RUNS = 50_000
 
 
 def signatures(text: Column, chain: int = CHAIN, anchors: dict[str, list[str]] = ANCHORS) -> list[tuple[str, Column]]:
@@ -115,7 +117,7 @@ def with_next(docs: DataFrame, sigs: bool = True) -> DataFrame:
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    n = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = min(MOST_RUNS, BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
     bounds = _bounds(docs, n)  # at most n numbers
     # run k holds the ids above bounds[k - 1], up to and with bounds[k]; run -1 the null ones
     dealt = _placed(docs, bounds, "_run").withColumn("_ghost", F.lit(0))
@@ -123,18 +125,16 @@ def with_next(docs: DataFrame, sigs: bool = True) -> DataFrame:
     # which documents begin a run, in descending order: a row a run
     tops = dealt.groupBy("_run").agg(F.max("doc_id").alias("top"))
     runs = sorted((r["_run"], r["top"]) for r in tops.collect())  # at most n + 1 rows
-    if not runs:
-        below = {}
-    else:
-        below = {runs[i][0]: runs[i + 1][0] for i in range(len(runs) - 1)} | {runs[-1][0]: runs[0][0]}  # run -> the run above it, which its first document closes
+    # run -> the run above it, which its first document closes; above the uppermost one comes the lowest again
+    below = {runs[i][0]: runs[(i + 1) % len(runs)][0] for i in range(len(runs))}
     heads = [t for _, t in runs if t is not None]
     head = F.col("doc_id").isin(heads) if heads else F.lit(False)
     nulls = F.col("doc_id").isNull() if any(t is None for _, t in runs) else F.lit(False)
     first = Window.partitionBy("_run").orderBy(F.xxhash64("text").asc(), F.col("text").asc())
     ghosts = dealt.where(head | nulls).withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
-    to = F.create_map(*[F.lit(x) for k, v in below.items() for x in (k, v)]) if below else F.create_map(F.lit(0), F.lit(0))
-    ghosts = ghosts.withColumn("_run", to[F.col("_run")]).withColumn("_ghost", F.lit(1))
-    both = dealt.unionByName(ghosts)
+    above = F.broadcast(spark.createDataFrame(list(below.items()), "_run int, _above int"))  # a row a run
+    ghosts = ghosts.join(above, "_run").withColumn("_run", F.col("_above")).withColumn("_ghost", F.lit(1))
+    both = dealt.unionByName(ghosts.drop("_above"))
     w = Window.partitionBy("_run").orderBy(*order)
     out = both.withColumn("next_text", F.lead("text").over(w))
     if sigs:
