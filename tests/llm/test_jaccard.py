@@ -63,6 +63,7 @@ def families(prose):
 def test_equals_brute_force(spark, families, monkeypatch, shingle_limit, node_limit, dense, fetch):
     monkeypatch.setattr(J, "BLOCK_SHINGLES", shingle_limit)
     monkeypatch.setattr(J, "BLOCK_NODES", node_limit)
+    monkeypatch.setattr(J, "PART_NODES", node_limit // 2)
     monkeypatch.setattr(J, "DENSE", dense)
     monkeypatch.setattr(J, "BROADCAST_ROWS", fetch)
     df = spark.createDataFrame(families, "doc_id long, text string").repartition(3)

@@ -24,6 +24,8 @@ from .shared import held, row_key, shared_dir, small, staged
 SHINGLE, THRESHOLD, RECALL, HASHES = 5, 0.8, 0.9999, 192
 #: Shingles and nodes of a block; two blocks meet in a task.
 BLOCK_SHINGLES, BLOCK_NODES = 1_000_000, 1024
+#: A component of more nodes than PART_NODES is cut in up to PARTS blocks even where one would hold it, for more tasks.
+PARTS, PART_NODES = 8, 128
 #: Candidate rows that are broadcast to fetch their texts, 40 bytes each; beyond, the texts are shuffled.
 BROADCAST_ROWS = 500_000
 #: A shingle in more texts of a block than this is counted by matrix products, others pair by pair.
@@ -219,7 +221,7 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int
     edges = at.join(hubs, ["band", "h"]).where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     comps = components(edges, folder, "candidates")
     wanted = staged(comps.withColumnRenamed("root", "comp").join(nodes, "node"), folder, "wanted")
-    sizes = wanted.groupBy("comp").agg(F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count(F.lit(1)) / BLOCK_NODES), F.lit(1)).cast("int").alias("nb"))
+    sizes = wanted.groupBy("comp").agg(F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count(F.lit(1)) / BLOCK_NODES), F.least(F.lit(PARTS), F.ceil(F.count(F.lit(1)) / PART_NODES)), F.lit(1)).cast("int").alias("nb"))
     wanted = wanted.join(sizes, "comp").select(F.col("k._k1").alias("_k1"), F.col("k._k2").alias("_k2"), "comp", "node", "m", "nb", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int").alias("block"))
     texts = docs.join(small(wanted, BROADCAST_ROWS), ["_k1", "_k2"]).select("comp", "node", "m", "nb", "block", F.coalesce("text", F.lit("")).alias("text"))
 
