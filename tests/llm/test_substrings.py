@@ -68,11 +68,13 @@ def test_the_sketch_lets_few_single_windows_through(spark, prose):
     df = spark.createDataFrame([(i, -i, prose(i, 400, 10**6)) for i in range(60)], "_k1 long, _k2 long, text string").coalesce(1)
     rows = [pa.RecordBatch.from_pylist([r.asDict() for r in df.collect()], schema=pa.schema([("_k1", pa.int64()), ("_k2", pa.int64()), ("text", pa.string())]))]
     shape = S.choose_shape(sum(len(r["text"]) for r in rows[0].to_pylist()), 4)
-    said = {(r.number, r.shard): (r.n, bytes(r.bits)) for r in S.sketch(df, shape).collect()}
+    said = {(r.number, r.digest, r.shard): (r.n, bytes(r.bits)) for r in S.sketch(df, shape).collect()}
     (batch,) = S._batches(iter(rows), 35, [7])
     share = S._estimated(batch, shape, said).mean()
     assert len(batch.doc) == 60 * 366 and share < 0.1
     assert S._estimated(batch, shape, {}).all()  # without answers nothing is lost
+    batch.doc = batch.doc[::-1].copy()
+    assert S._estimated(batch, shape, said).all()  # nor with those of other batches
 
 
 @settings(max_examples=100, deadline=None)

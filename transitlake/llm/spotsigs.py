@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import row_key, shared_dir, staged, words
+from .shared import row_key, words
 
 # Very common words of four languages, the anchors.
 ANCHORS = {

@@ -100,6 +100,11 @@ class Batch:
     k1: np.ndarray
     k2: np.ndarray
 
+    @property
+    def digest(self) -> int:
+        """Tells batches of other windows, or as many in another order of texts, apart."""
+        return int((self.hashes[0] * (self.doc.astype(U) + U(1))).sum().view(np.int64)) if len(self.doc) else 0
+
 
 def _batches(rows: Iterator[pa.RecordBatch], window: int, salts: list[int]) -> Iterator[Batch]:
     """The texts of a task in batches, cut alike in either pass."""
@@ -139,7 +144,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def sketch(docs: DataFrame, shape: Shape, window: int = WINDOW) -> DataFrame:
-    """(task, number, shard, n, bits): for each batch and shard, of the n distinct cells hit there, in order, which count two or more in all.
+    """(task, number, digest, shard, n, bits): for each batch and shard, of the n distinct cells hit there, in order, which count two or more in all.
 
     ``shard`` counts through all rows of the sketch. ``docs``: (_k1, _k2, text).
     """
@@ -157,7 +162,7 @@ def sketch(docs: DataFrame, shape: Shape, window: int = WINDOW) -> DataFrame:
                     shards.append(row << shape.log_shards | shard)
                     blobs.append(encode_gaps(cells[cuts[shard] : cuts[shard + 1]] - shard * shape.shard_cells))
             n = len(shards)
-            yield pa.RecordBatch.from_arrays([pa.array([task] * n, pa.int32()), pa.array([batch.number] * n, pa.int32()), pa.array(shards, pa.int32()), pa.array(blobs, pa.binary())], ["task", "number", "shard", "cells"])
+            yield pa.RecordBatch.from_arrays([pa.array([task] * n, pa.int32()), pa.array([batch.number] * n, pa.int32()), pa.array([batch.digest] * n, pa.int64()), pa.array(shards, pa.int32()), pa.array(blobs, pa.binary())], ["task", "number", "digest", "shard", "cells"])
 
     def merge(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, []
@@ -165,52 +170,52 @@ def sketch(docs: DataFrame, shape: Shape, window: int = WINDOW) -> DataFrame:
         def answers() -> pa.RecordBatch:
             counts = np.zeros(shape.shard_cells, np.uint8)
             own = []
-            for _, _, blob in held:
+            for *_, blob in held:
                 cells = decode_gaps(blob)
                 again = np.concatenate([[False], cells[1:] == cells[:-1]])
                 counts[cells] = np.minimum(counts[cells], 2) + 1
                 counts[cells[again]] = 2
                 own.append(cells[~again])
-            tasks, numbers, _ = zip(*held, strict=True)
+            tasks, numbers, digests, _ = zip(*held, strict=True)
             bits = [np.packbits(counts[x] >= 2).tobytes() for x in own]
-            return pa.RecordBatch.from_arrays([pa.array(tasks, pa.int32()), pa.array(numbers, pa.int32()), pa.array([current] * len(held), pa.int32()), pa.array(list(map(len, own)), pa.int32()), pa.array(bits, pa.binary())], ["task", "number", "shard", "n", "bits"])
+            return pa.RecordBatch.from_arrays([pa.array(tasks, pa.int32()), pa.array(numbers, pa.int32()), pa.array(digests, pa.int64()), pa.array([current] * len(held), pa.int32()), pa.array(list(map(len, own)), pa.int32()), pa.array(bits, pa.binary())], ["task", "number", "digest", "shard", "n", "bits"])
 
         for batch in rows:
-            for task, number, shard, blob in zip(*(batch.column(n).to_pylist() for n in ("task", "number", "shard", "cells")), strict=True):
+            for task, number, digest, shard, blob in zip(*(batch.column(n).to_pylist() for n in ("task", "number", "digest", "shard", "cells")), strict=True):
                 if shard != current:
                     if held:
                         yield answers()
                     current, held = shard, []
-                held.append((task, number, blob))
+                held.append((task, number, digest, blob))
         if held:
             yield answers()
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sent = _keyed(docs).mapInArrow(send, "task int, number int, shard int, cells binary")
-    return sent.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(merge, "task int, number int, shard int, n int, bits binary")
+    sent = _keyed(docs).mapInArrow(send, "task int, number int, digest long, shard int, cells binary")
+    return sent.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(merge, "task int, number int, digest long, shard int, n int, bits binary")
 
 
-def _answers(folder: str, task: int) -> dict[tuple[int, int], tuple[int, bytes]]:
-    """A task's answers by (batch, shard); none if the folder has none."""
+def _answers(folder: str, task: int) -> dict[tuple[int, int, int], tuple[int, bytes]]:
+    """A task's answers by (batch, its digest, shard); none if the folder has none."""
     import pyarrow.parquet as pq
 
     fs, path = file_system(f"{folder}/task={task}")
     if fs.get_file_info(path).type != pafs.FileType.Directory:
         return {}
     files = [f.path for f in fs.get_file_info(pafs.FileSelector(path)) if f.path.endswith(".parquet")]
-    rows = [pq.read_table(f, filesystem=fs, columns=["number", "shard", "n", "bits"], partitioning=None).to_pylist() for f in files]
-    return {(r["number"], r["shard"]): (r["n"], r["bits"]) for x in rows for r in x}
+    rows = [pq.read_table(f, filesystem=fs, columns=["number", "digest", "shard", "n", "bits"], partitioning=None).to_pylist() for f in files]
+    return {(r["number"], r["digest"], r["shard"]): (r["n"], r["bits"]) for x in rows for r in x}
 
 
 def _estimated(batch: Batch, shape: Shape, answers: dict) -> np.ndarray:
     """Which windows of a batch may be repeated."""
-    maybe = np.ones(len(batch.doc), bool)
+    maybe, digest = np.ones(len(batch.doc), bool), batch.digest
     for row in range(shape.depth):
         cells, back = np.unique(shape.cells(batch.hashes[0], row), return_inverse=True)
         cuts = np.searchsorted(cells, shape.starts())
         bits = np.ones(len(cells), bool)
         for shard in np.flatnonzero(np.diff(cuts)).tolist():
-            n, said = answers.get((batch.number, row << shape.log_shards | shard), (-1, b""))
+            n, said = answers.get((batch.number, digest, row << shape.log_shards | shard), (-1, b""))
             if n == cuts[shard + 1] - cuts[shard]:
                 bits[cuts[shard] : cuts[shard + 1]] = np.unpackbits(np.frombuffer(said, np.uint8), count=n)
         maybe &= bits[back]
