@@ -17,6 +17,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,9 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Most of what lies there is letters, then marks, then perhaps both again on the next line; BPE never joins these parts.
 _LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ſ", r"!-&(-/:-@\[-`{-~"
 _PARTS = re.compile(f"( ?[{_LETTERS}]+)([{_MARKS}]+)?(?:(\n)([{_LETTERS}]+)([{_MARKS}]+)?)?").fullmatch
-#: Pieces a worker remembers, and the longest; pieces beyond are encoded each time.
-REMEMBERED, LONGEST = 500_000, 48
+#: Pieces a worker remembers, the longest of them, and those that stay when there are too many: the first met, so the commonest.
+#: A piece takes about 200 bytes.
+REMEMBERED, LONGEST, KEPT = 500_000, 48, 100_000
 #: Rows of which a worker holds the ids at a time.
 ROWS = 512
 
@@ -87,7 +89,9 @@ class Encoder:
         end, known, out = self._packed([end_id]), self.known, []
         for memory in (known, self.parts):
             if len(memory) > REMEMBERED:
+                first = dict(islice(memory.items(), KEPT))
                 memory.clear()
+                memory.update(first)
         look = known.get
         for text in texts:
             first, *rest = _CUT.split(text)
