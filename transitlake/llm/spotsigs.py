@@ -148,7 +148,9 @@ def _placed(docs: DataFrame, bounds: list, name: str) -> DataFrame:
     docs = docs.withColumn(name, F.lit(0))
     for step in [1 << i for i in reversed(range(n.bit_length()))]:
         docs = docs.withColumn(name, F.when((F.col(name) + step <= n) & (F.get(values, F.col(name) + step - 1) < F.col("doc_id")), F.col(name) + step).otherwise(F.col(name)))
-    return docs.withColumn(name, F.when(F.col("doc_id").isNull(), -1).otherwise(F.col(name)))
+    # a filter on the place would be pushed below its steps and grow with each of them; it stops at the explode
+    place = F.explode(F.array(F.when(F.col("doc_id").isNull(), -1).otherwise(F.col(name)))).alias(name)
+    return docs.select(*[c for c in docs.columns if c != name], place)
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
