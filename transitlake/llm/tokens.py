@@ -30,12 +30,14 @@ from .shared import shared_dir, staged
 #: Between two characters that are no white space a space always begins a new piece of byte-level BPE, so that what lies
 #: between two such spaces is encoded alike wherever it stands.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+#: All white space but the space; where none of it, nor a second space, is beside a space, a plain split does the same.
+_WHITE = [chr(x) for x in (*range(0x09, 0x0E), *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 #: Most of what lies there is letters, then marks, then perhaps both again on the next line; BPE never joins these parts.
 _LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ſ", r"!-&(-/:-@\[-`{-~"
 _PARTS = re.compile(f"( ?[{_LETTERS}]+)([{_MARKS}]+)?(?:(\n)([{_LETTERS}]+)([{_MARKS}]+)?)?").fullmatch
 #: Pieces a worker remembers, the longest of them, and those that stay when there are too many: the first met, so the commonest.
 #: A piece takes about 200 bytes.
-REMEMBERED, LONGEST, KEPT = 500_000, 48, 100_000
+REMEMBERED, LONGEST, KEPT = 200_000, 48, 100_000
 #: Rows of which a worker holds the ids at a time.
 ROWS = 512
 
@@ -53,6 +55,13 @@ def _byte_letters() -> dict[int, str]:
     return {x: chr(x) for x in printable} | {x: chr(256 + i) for i, x in enumerate(others)}
 
 
+def _cut(text: str) -> list[str]:
+    """A text cut at its single spaces, which begin all pieces but the first and are left out."""
+    if "  " in text or any(c in text and (f" {c}" in text or f"{c} " in text) for c in _WHITE):
+        return _CUT.split(text)
+    return text.split(" ")
+
+
 class Encoder:
     """Byte-level BPE of whole texts, equal to ``Tokenizer.encode``; pieces between single spaces are remembered."""
 
@@ -68,13 +77,19 @@ class Encoder:
         self.code = "H" if self.width.itemsize == 2 else "I"
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.space = self.letters[ord(" ")]
+        self.ends = {x: self._piece(x) for x in ".,;:!?"}
 
     def _packed(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
+    def _letters(self, letters: str) -> bytes:
+        """The ids of what BPE never joins to anything else, in byte-level letters."""
+        return self._packed([x.id for x in self.model.tokenize(letters)])
+
     def _part(self, part: str) -> bytes:
         if (found := self.parts.get(part)) is None:
-            found = self._packed([x.id for x in self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))])
+            found = self._letters(part.encode().decode("latin-1").translate(self.letters))
             if len(part) <= LONGEST:
                 self.parts[part] = found
         return found
@@ -84,6 +99,19 @@ class Encoder:
             return b"".join([self._part(x) for x in m.groups() if x])
         return self._packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
+    def _spaced(self, x: str) -> bytes:
+        """A space and a piece that is not remembered. Plain letters, with or without a mark at their end, take a short way."""
+        if x.isascii():
+            if x.isalpha():
+                return self._letters(self.space + x)
+            if (end := self.ends.get(x[-1:])) is not None and (stem := x[:-1]).isalpha():
+                if (blob := self.known.get(stem)) is None:
+                    blob = self._letters(self.space + stem)
+                    if len(stem) <= LONGEST:
+                        self.known[stem] = blob
+                return blob + end
+        return self._piece(" " + x)
+
     def __call__(self, texts: list[str], end_id: int) -> list[bytes]:
         """The ids of each text and ``end_id``, as little-endian bytes of ``width``."""
         end, known, out = self._packed([end_id]), self.known, []
@@ -94,13 +122,13 @@ class Encoder:
                 memory.update(first)
         look = known.get
         for text in texts:
-            first, *rest = _CUT.split(text)
+            first, *rest = _cut(text)
             blobs = [self._piece(first)]
             blobs += map(look, rest)
             if None in blobs:
                 for i, x in enumerate(rest, 1):
                     if blobs[i] is None:
-                        blobs[i] = blob = self._piece(" " + x)
+                        blobs[i] = blob = self._spaced(x)
                         if len(x) <= LONGEST:
                             known[x] = blob
             blobs.append(end)
