@@ -87,3 +87,16 @@ def test_query_and_edge_cases(docs, empty, spark):
     assert P.find(empty).collect() == [] and P.mask(empty).collect() == []
     masked = {r.doc_id: r for r in P.mask(docs).collect()}
     assert P.mask(docs).columns == docs.columns and masked[2].text is None and masked[1].text == docs.where("doc_id = 1").first().text
+
+
+@pytest.mark.parametrize("text", ["j\u043ehn.smith@example.com", "john@example.c\u043em", "john@mail.ex\u0430mple.com", "joe@mail.site [dot] com", "+49 170 12345\uff16\uff17", "j\u200boe@site.de"])
+def test_a_plain_piece_does_not_hide_the_whole(text):
+    base, every = P.every_span(f"ask {text}, now")
+    kind = 3 if text[0] == "+" else 0
+    assert base and set(base) < set(every) and (4, 4 + len(text), kind) in every
+    assert P.masked_text(f"ask {text}, now") == f"ask {P.MASKS[P.KINDS[kind]]}, now"
+
+
+def test_query_gives_the_whole_beside_the_piece(spark):
+    row = P.find(spark.createDataFrame([(1, "j\u043ehn@site.de")], "doc_id long, text string")).first()
+    assert row.n_email == 1 and row.spans == "email:0:12,email:2:12" and row.base_sha256 == hashlib.sha256(b"email:2:12").hexdigest()

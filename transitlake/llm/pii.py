@@ -4,7 +4,7 @@ A text is read twice. First plainly: e-mail addresses, IPv4 addresses, payment c
 these spans always stay. Then through a transducer that writes a normal form and, for each character of it, where it came
 from: homoglyphs and full-width forms become ASCII letters and digits, runs of spelled digits become digits, "at" and "dot"
 in brackets, or between what can be parts of an address, become marks. What the same patterns find there maps back to
-source characters, and counts where the plain reading has nothing.
+source characters, and is added, also where the plain reading has a piece of it.
 """
 
 from __future__ import annotations
@@ -161,15 +161,24 @@ def normal_form(text: str) -> Normal | None:
     return out
 
 
-def all_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
-    """(plain spans, all spans), each sorted by start and kind; an added span never overlaps another."""
+def every_span(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """(plain spans, all spans), each sorted by start, end and kind: beside the plain ones all that the normal form shows.
+
+    A disguised identifier of which the plain reading has a piece gives a span of its own around that piece.
+    """
     base = plain_spans(text)
     normal = normal_form(text)
     if normal is None or normal.text == text:
         return base, base
+    found = {(*normal.source(a, b), kind) for a, b, kind in plain_spans(normal.text)}
+    return base, sorted([*base, *(found - set(base))])
+
+
+def all_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """``every_span`` without those added spans that overlap another; the operator itself takes every span."""
+    base, every = every_span(text)
     added: list[tuple[int, int, int]] = []
-    for a, b, kind in plain_spans(normal.text):
-        start, end = normal.source(a, b)
+    for start, end, kind in sorted(set(every) - set(base)):
         if all(end <= x or start >= y for x, y, _ in [*base, *added]):
             added.append((start, end, kind))
     return base, sorted(base + added)
@@ -182,7 +191,7 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
 def find(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Per document: doc_id, n_email, n_ip, n_card, n_phone (plain spans), base_sha256 of the plain spans, spans (all of them).
 
-    A span is kind:start:end in code points, the end exclusive. A null text is empty; repeated rows and other columns do
+    A span is kind:start:end in code points, the end exclusive; a disguised one can overlap plain ones. A null text is empty; repeated rows and other columns do
     not matter.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -192,7 +201,7 @@ def find(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
             counts: list[list[int]] = [[] for _ in KINDS]
             digests, joined = [], []
             for text in batch.column("text").to_pylist():
-                base, every = all_spans(text)
+                base, every = every_span(text)
                 for k, column in enumerate(counts):
                     column.append(sum(x[2] == k for x in base))
                 digests.append(hashlib.sha256(_joined(base).encode()).hexdigest())
@@ -206,7 +215,7 @@ def find(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
 def masked_text(text: str) -> str:
     """The text with a mask in place of each span; of overlapping spans the one that starts first, then the longest, gives the mask for all they cover."""
     out, at, runs = [], 0, []
-    for a, b, kind in sorted(all_spans(text)[1], key=lambda s: (s[0], -s[1], s[2])):
+    for a, b, kind in sorted(every_span(text)[1], key=lambda s: (s[0], -s[1], s[2])):
         if runs and a < runs[-1][1]:
             runs[-1][1] = max(runs[-1][1], b)
         else:
