@@ -100,3 +100,28 @@ def test_a_plain_piece_does_not_hide_the_whole(text):
 def test_query_gives_the_whole_beside_the_piece(spark):
     row = P.find(spark.createDataFrame([(1, "j\u043ehn@site.de")], "doc_id long, text string")).first()
     assert row.n_email == 1 and row.spans == "email:0:12,email:2:12" and row.base_sha256 == hashlib.sha256(b"email:2:12").hexdigest()
+
+
+@pytest.mark.parametrize(("found", "kind"), [
+    ("jane at example dot nl", "email"), ("jane at example dot it", "email"), ("jane at example dot museum", "email"), ("jane dot doe at mail dot example", "email"),
+    ("a.b.c.d.e at site dot com", "email"), ("a dot b dot c dot d dot e dot f at g dot h dot i dot j dot k dot org", "email"), ("jane dot doe@site dot ch", "email"), ("jane dot doe at example.com", "email"),
+    ("192 dot 168 dot 0 dot 1", "ip"), ("192 dot 168 dot zero dot one", "ip"), ("one.two.three.four", "ip"), ("one nine two dot one six eight dot zero dot un", "ip"), ("\u2460\u2461.0.0.\u00b9", "ip"), ("\U0001d7cf\U0001d7ce.0.0.\u1041", "ip"),
+    ("plus four nine one seven zero one two three four five six seven", "phone"), ("plus 49 170 1234567", "phone"), ("+33 six un deux 345678", "phone"), ("+49 170 12345 six seven", "phone"), ("+49 170 12345 six", "phone"), ("+49 (one seven zero) 123 45 67", "phone"),
+    ("4111 1111 one one\none one / 1111", "card"), ("four.one.one.one.one.one.one.one.one.one.one.one.one.one.one.one", "card"),
+    ("\U0001d423\U0001d428\U0001d41e@\u24e2\u24d8\u24e3\u24d4.de", "email"), ("jo\u1d49@s\u2071te.de", "email"), ("j\u2066oe\u2069@site.de", "email"), ("ma\u0131l@f\u0131ve.de", "email"),
+])
+def test_more_disguises(found, kind):
+    for before, after in (("", ""), ("ask: ", " today, ok")):
+        text = before + found + after
+        assert (len(before), len(before) + len(found), P.KINDS.index(kind)) in P.every_span(text)[1]
+        assert P.masked_text(text) == before + P.MASKS[kind] + after
+
+
+@pytest.mark.parametrize("text", ["look at that dot over there", "at one point in time", "they sat at this point in the talk", "a dot at the end", "f\u0131ve \u017fix", "3 point 5 percent, un deux trois", "we were at home dot"])
+def test_prose_stays(text):
+    assert P.every_span(text) == ([], [])
+
+
+def test_long_runs_of_words_take_linear_time():
+    for unit in ("a dot ", "a at b dot ", "one dot ", "plus ", "1 one ", "a dot b@", "at ", "one.", "@a dot b ", " at a dot b", "1 1 1a "):
+        P.every_span(unit * (200_000 // len(unit)))

@@ -2,8 +2,8 @@
 
 A text is read twice. First plainly: e-mail addresses, IPv4 addresses, payment cards and phone numbers by fixed patterns;
 these spans always stay. Then through a transducer that writes a normal form and, for each character of it, where it came
-from: homoglyphs and full-width forms become ASCII letters and digits, runs of spelled digits become digits, "at" and "dot"
-in brackets, or between what can be parts of an address, become marks. What the same patterns find there maps back to
+from: homoglyphs, compatibility forms and all scripts' digits become ASCII, spelled digits beside digits become digits, "at" and
+"dot" in brackets, or between what can be parts of an address or a number, become marks, whatever the address ends with. What the same patterns find there maps back to
 source characters, and is added, also where the plain reading has a piece of it.
 """
 
@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -73,49 +75,80 @@ def plain_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-# Characters that look like ASCII letters, digits and marks.
+# Characters that look like ASCII letters, digits and marks, beyond those that compatibility forms (NFKC) map there.
 _GLYPHS = {
+    "ı": "i", "İ": "I",
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "ԁ": "d", "һ": "h", "ӏ": "l", "в": "b", "к": "k", "м": "m", "н": "h", "т": "t",
     "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "Х": "X", "І": "I", "Ј": "J", "Ѕ": "S",
     "α": "a", "ο": "o", "ρ": "p", "ν": "v", "ι": "i", "κ": "k", "τ": "t", "υ": "u", "χ": "x", "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
     "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "−": "-", "․": ".", "。": ".", "﹒": ".", "﹫": "@", " ": " ", " ": " ", " ": " ", " ": " ",
 }
-_DROPPED = frozenset("­​‌‍⁠﻿")
-_ZEROES = (0x0660, 0x06F0, 0x0966, 0x09E6, 0x0E50)  # the digits of five scripts
+_NEGATIVE = (0x1F150, 0x1F170, 0x1F1E6)  # white on black and regional letters, which have no compatibility form
 
 
 def _glyph_table() -> dict[int, str]:
-    wide = {0xFF01 + i: chr(0x21 + i) for i in range(94)}  # full-width forms of ASCII
-    digits = {z + d: str(d) for z in _ZEROES for d in range(10)}
-    return wide | digits | {ord(k): v for k, v in _GLYPHS.items()} | {ord(c): "" for c in _DROPPED}
+    """Every character that stands for ASCII ones: compatibility forms, digits of all scripts, look-alikes; formatting ones for nothing."""
+    table = {}
+    for c in map(chr, range(0x80, sys.maxunicode + 1)):
+        if unicodedata.category(c) == "Cf" or "\ufe00" <= c <= "\ufe0f":
+            table[ord(c)] = ""
+        elif (d := unicodedata.digit(c, None)) is not None:
+            table[ord(c)] = str(d)
+        elif (form := unicodedata.normalize("NFKC", c)).isascii():
+            table[ord(c)] = form
+    return table | {z + i: chr(0x41 + i) for z in _NEGATIVE for i in range(26)} | {ord(k): v for k, v in _GLYPHS.items()}
+
+
+def _class_of(codes: list[int]) -> str:
+    """A character class of code points, in ranges."""
+    runs: list[list[int]] = []
+    for c in codes:
+        if runs and c == runs[-1][1] + 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return "[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in runs) + "]"
 
 
 _TABLE = _glyph_table()
-_ODD = re.compile("[" + "".join(sorted(re.escape(chr(c)) for c in _TABLE)) + "]")
+_ODD = re.compile(_class_of(sorted(_TABLE)))
 # The names of digits in four languages, without those that are common words of other sorts.
 _NUMBERS = {
     "zero": 0, "oh": 0, "one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8, "nine": 9,
     "null": 0, "eins": 1, "zwei": 2, "zwo": 2, "drei": 3, "vier": 4, "fünf": 5, "sechs": 6, "sieben": 7, "acht": 8, "neun": 9,
-    "zéro": 0, "deux": 2, "trois": 3, "quatre": 4, "cinq": 5, "sept": 7, "huit": 8, "neuf": 9,
+    "zéro": 0, "un": 1, "deux": 2, "trois": 3, "quatre": 4, "cinq": 5, "sept": 7, "huit": 8, "neuf": 9,
     "cero": 0, "uno": 1, "dos": 2, "tres": 3, "cuatro": 4, "cinco": 5, "seis": 6, "siete": 7, "ocho": 8, "nueve": 9,
 }
 _NUMBER = "(?:" + "|".join(sorted(_NUMBERS, key=len, reverse=True)) + ")"
-#: Two or more spelled digits in a row; what they make up must still pass as an identifier.
-_SPELLED = re.compile(rf"(?<!\w){_NUMBER}(?:[\x20,.-]{{1,2}}{_NUMBER})+(?!\w)", re.I)
+_WORD_DOT = r"(?:dot|punkt|point|punto)"
+_SPELLED = re.compile(rf"(?<!\w){_NUMBER}(?!\w)", re.I)
+_SPOKEN_DOT = re.compile(rf"\s{{1,2}}{_WORD_DOT}\s{{1,2}}", re.I)
+#: Digits and spelled digits in a row, and what stands between them; what they make up must still pass as an identifier.
+_FIGURE = rf"(?:{_NUMBER}|[0-9]++)(?!\w)"
+_BETWEEN = rf"(?:\s{{1,2}}{_WORD_DOT}\s{{1,2}}|[\s,.;:/()-]{{1,3}})"
+_FIGURES = re.compile(rf"(?<!\w){_FIGURE}(?:{_BETWEEN}{_FIGURE})++", re.I)
+_FIGURE_OR_BETWEEN = re.compile(rf"({_FIGURE})|{_BETWEEN}", re.I)
+_PLUS = re.compile(r"(?<!\w)plus\s{1,2}(?=[0-9])", re.I)
 _AT = r"(?:\x20{0,2}[\[({<]\x20?(?:at|@|arroba|arobase|ät)\x20?[\])}>]\x20{0,2})"
 _DOT = r"(?:\x20{0,2}[\[({<]\x20?(?:dot|\.|punkt|point|punto)\x20?[\])}>]\x20{0,2})"
 _BRACKETED = re.compile(rf"{_AT}|{_DOT}", re.I)
-#: Without brackets the words must frame what ends like a host's name.
-_SPOKEN = re.compile(r"(?<![\w.%+-])[A-Za-z0-9_%+-]+(?:\x20(?:dot|punkt|point|punto)\x20[A-Za-z0-9_%+-]+|\.[A-Za-z0-9_%+-]+){0,3}(?P<at>\x20(?:at|arroba|arobase)\x20)[A-Za-z0-9-]+(?:(?:\x20(?:dot|punkt|point|punto)\x20|\.)[A-Za-z0-9-]+){0,3}\x20(?:dot|punkt|point|punto)\x20(?:com|net|org|edu|gov|info|io|de|fr|es|eu|uk)(?![\w-])", re.I)
-_SPOKEN_DOT = re.compile(r"\x20(?:dot|punkt|point|punto)\x20", re.I)
-
-
+_SPOKEN_AT = re.compile(r"(?P<mark>@)|(?<=[A-Za-z0-9_%+-])\s{1,2}(?:at|arroba|arobase|ät)\s{1,2}(?=[A-Za-z0-9])", re.I)
+_HOST = re.compile(rf"[A-Za-z0-9-]++(?:(?:\s{{1,2}}{_WORD_DOT}\s{{1,2}}|\.)[A-Za-z0-9-]++)++", re.I)
+_DOT_BEFORE = re.compile(rf"(?<=[A-Za-z0-9_%+-])\s{{1,2}}{_WORD_DOT}\s{{1,2}}\Z", re.I)
+#: What cannot begin a host's name after a spoken at, and what cannot where the dot is a word of many meanings.
+_NO_HOST = frozenset("the that this these those which what every each".split())
+_NO_POINT = _NO_HOST | frozenset("a an any some one no another certain my your his her its our their gun knife".split())
 class Normal:
     """A normal form of a text; ``begin[k]`` and ``end[k]`` are the source characters that its character k stands for."""
 
     def __init__(self, text: str):
         self.text, self.begin, self.end = text, list(range(len(text))), list(range(1, len(text) + 1))
 
+    def copy(self) -> Normal:
+        new = Normal("")
+        new.text, new.begin, new.end = self.text, self.begin, self.end
+        return new
+
     def rewrite(self, edits: list[tuple[int, int, str]]) -> None:
         """Puts the new string in place of each run (start, end), in order; each of its characters stands for the whole run."""
         out, begin, end, at = [], [], [], 0
@@ -131,34 +164,79 @@ class Normal:
         return self.begin[a], self.end[b - 1]
 
 
-def normal_form(text: str) -> Normal | None:
-    """The text without disguises; None if it has none."""
+def _figure_edits(text: str, dots: bool) -> list[tuple[int, int, str]]:
+    """Spelled digits become digits, spoken dots between digits become marks. What else is beside a spelled digit goes, but with ``dots`` not a dot."""
+    edits = []
+    for m in _FIGURES.finditer(text):
+        parts = [(x.start(), x.end(), x[1]) for x in _FIGURE_OR_BETWEEN.finditer(text, m.start(), m.end())]
+        for k, (a, b, figure) in enumerate(parts):
+            if figure:
+                if (d := _NUMBERS.get(figure.lower())) is not None:
+                    edits.append((a, b, str(d)))
+            elif any(x.isalpha() for x in text[a:b]):
+                edits.append((a, b, "."))
+            elif any(parts[j][2][0].isalpha() for j in (k - 1, k + 1)):
+                edits.append((a, b, "." if dots and "." in text[a:b] else ""))
+    return edits
+
+
+def _address_edits(text: str) -> list[tuple[int, int, str]]:
+    """Spoken at and dot become marks, with as many parts as there are, where a name stands before and a host with a dot after them.
+
+    A spoken at counts beside a spoken dot only.
+    """
+    edits, done, at = [], 0, 0
+    while m := _SPOKEN_AT.search(text, at):
+        at = m.end()
+        host = _HOST.match(text, m.end())
+        if not host or m.start() <= done or text[m.start() - 1] not in _LOCAL:
+            continue
+        after = [(d.start(), d.end(), ".") for d in _SPOKEN_DOT.finditer(text, host.start(), host.end())]
+        before, start = [], m.start()
+        while True:
+            while start > done and text[start - 1] in _LOCAL:
+                start -= 1
+            d = _DOT_BEFORE.search(text[max(done, start - 16) : start])
+            if not d:
+                break
+            stop, start = start, start - len(d[0])
+            before.append((start, stop, "."))
+        done = at = host.end()
+        if m["mark"]:
+            edits += [*reversed(before), *after]
+        elif before or after:
+            first = re.match(r"[A-Za-z0-9-]+", host[0])[0].lower()
+            spoken = {text[a:b].strip().lower() for a, b, _ in [*before, *after]}
+            if first not in (_NO_HOST if "dot" in spoken else _NO_POINT):
+                edits += [*reversed(before), (m.start(), m.end(), "@"), *after]
+    return edits
+
+
+def normal_forms(text: str) -> list[Normal]:
+    """The text without disguises; none if it has none. Two where dots between spelled digits can be parts or mere separators."""
     odd = not text.isascii() and _ODD.search(text)
-    low = text.lower()
-    maybe_at = ("at" in low or "arroba" in low or "arobase" in low or "@" in low or "ät" in low) and any(x in low for x in ("dot", "punkt", "point", "punto", ".", "@"))
-    bracketed = any(x in text for x in "[({<") and _BRACKETED.search(text)
-    spoken = maybe_at and any(x in low for x in (" dot ", " punkt ", " point ", " punto ")) and _SPOKEN.search(text)
-    spelled = _SPELLED.search(text)
-    if not (odd or bracketed or spoken or spelled):
-        return None
     out = Normal(text)
     if odd:
-        out.rewrite([(m.start(), m.end(), _TABLE[ord(m[0])]) for m in _ODD.finditer(out.text)])
-    edits = []
-    for m in _SPELLED.finditer(out.text):
-        # each word becomes its digit; what stands between them goes
-        words = list(re.finditer(_NUMBER, m[0], re.I))
-        for k, w in enumerate(words):
-            edits.append((m.start() + w.start(), m.start() + w.end(), str(_NUMBERS[w[0].lower()])))
-            if k + 1 < len(words):
-                edits.append((m.start() + w.end(), m.start() + words[k + 1].start(), ""))
-    out.rewrite(edits)
-    out.rewrite([(m.start(), m.end(), "." if re.search(r"dot|punkt|point|punto|\.", m[0], re.I) else "@") for m in _BRACKETED.finditer(out.text)])
-    edits = []
-    for m in _SPOKEN.finditer(out.text):
-        edits += [(m.start("at"), m.end("at"), "@")] + [(d.start(), d.end(), ".") for d in _SPOKEN_DOT.finditer(out.text, m.start(), m.end())]
-    out.rewrite(sorted(edits))
-    return out
+        out.rewrite([(m.start(), m.end(), _TABLE[ord(m[0])]) for m in _ODD.finditer(text)])
+    bracketed = any(x in out.text for x in "[({<") and _BRACKETED.search(out.text)
+    spoken, spelled = _SPOKEN_DOT.search(out.text), _SPELLED.search(out.text) or _PLUS.search(out.text)
+    if not (odd or bracketed or spoken or spelled):
+        return []
+    if bracketed:
+        out.rewrite([(m.start(), m.end(), "." if re.search(r"dot|punkt|point|punto|\.", m[0], re.I) else "@") for m in _BRACKETED.finditer(out.text)])
+    forms = [out]
+    if spoken or spelled:
+        edits, others = _figure_edits(out.text, False), _figure_edits(out.text, True)
+        if others != edits:
+            forms.append(out.copy())
+            forms[1].rewrite(others)
+        out.rewrite(edits)
+    for form in forms:
+        if spelled or spoken:
+            form.rewrite([(m.start(), m.end(), "+") for m in _PLUS.finditer(form.text)])
+        if spoken:
+            form.rewrite(_address_edits(form.text))
+    return [x for x in forms if x.text != text]
 
 
 def every_span(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
@@ -167,10 +245,9 @@ def every_span(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
     A disguised identifier of which the plain reading has a piece gives a span of its own around that piece.
     """
     base = plain_spans(text)
-    normal = normal_form(text)
-    if normal is None or normal.text == text:
+    found = {(*normal.source(a, b), kind) for normal in normal_forms(text) for a, b, kind in plain_spans(normal.text)}
+    if not found:
         return base, base
-    found = {(*normal.source(a, b), kind) for a, b, kind in plain_spans(normal.text)}
     return base, sorted([*base, *(found - set(base))])
 
 
