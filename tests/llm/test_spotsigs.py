@@ -81,3 +81,35 @@ def test_main_path_is_native(docs):
     for df in (S.edited_fingerprints(docs), S.search(docs, docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def whole_sigs(text):
+    w = WORD.findall((text or "").lower())
+    content = [x for x in w if x not in COMMON]
+    out, bounds = sigs(text), [0, *[i - n for n, i in enumerate(k for k, x in enumerate(w) if x in COMMON)], len(content)]
+    for lo, hi in zip(bounds, bounds[1:], strict=False):
+        if hi - lo > (4 if len(bounds) > 2 else 0):
+            out |= {("~", *content[k : k + 2]) for k in range(lo, hi)}
+    return out
+
+
+def test_texts_without_anchors_are_seen_whole(spark, docs, prose):
+    lists = {i: "alpha beta " + " ".join(f"item{i}x{k}" for k in range(40)) for i in range(5)} | {5: "alpha beta gamma", 6: "alpha beta delta", 7: "one", 8: "the of", 9: ""}
+    mixed = {100 + i: prose(i, 30) + " " + lists[i % 5] + " " + prose(i + 50, 10) for i in range(20)}
+    rows = list((lists | mixed).items())
+    for r, (doc, text) in zip(sorted(S.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), whole=True).collect(), key=lambda r: r.doc_id), rows, strict=True):
+        after = dict(rows)[max((d for d, _ in rows if d < doc), default=119)]
+        edited = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
+        assert r.doc_id == doc and len(r.fingerprint) == 8 * len(whole_sigs(text)) and len(r.edited_fingerprint) == 8 * len(whole_sigs(edited))
+        assert r.near_edited == pytest.approx(jaccard(whole_sigs(text), whole_sigs(edited))) and r.near_next == pytest.approx(jaccard(whole_sigs(text), whole_sigs(after)))
+        if doc in (1, 2, 3, 4):
+            assert 0.2 < r.near_edited < 0.8 and r.near_next < 0.1
+    assert len({r.fingerprint for r in S.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string"), whole=True).collect() if r.doc_id < 7}) == 7
+
+
+def test_the_query_sees_texts_whole(spark, tmp_path):
+    from transitlake.llm.queries import op4_document_fingerprints
+
+    spark.createDataFrame([(1, "alpha beta gamma delta"), (2, "alpha beta other words")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    a, b = op4_document_fingerprints(spark, str(tmp_path)).collect()
+    assert a.fingerprint != b.fingerprint and a.near_next < 0.5

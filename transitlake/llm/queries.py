@@ -27,7 +27,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spotsigs.edited_fingerprints(_table(spark, sf_dir, "documents"))
+    return spotsigs.edited_fingerprints(_table(spark, sf_dir, "documents"), whole=True)
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """Document fingerprints in DataFrame operations: SpotSigs.
 
 An anchor is a very common word; its signature is the anchor and the next ``CHAIN`` content words after it (words that are
-no anchors), so that signatures follow the prose and not lists, menus or marks. A document's fingerprint is the set of its
+no anchors), so that signatures follow the prose and not lists, menus or marks. Where anchors are missing or too far apart
+(texts in other languages, lists, tables), ``whole`` lets every content word there begin a signature of its own, so that at
+least half of any part of a text is seen. A document's fingerprint is the set of its
 signatures. Sets are compared by Jaccard; a pair whose lengths alone rule the threshold out is never looked at.
 """
 
@@ -20,6 +22,8 @@ ANCHORS = {
     "es": "al como con de del el ella en es esta este la las lo los más me mi no nos o para pero por que se si sin sobre su sus un una y ya".split(),
 }
 CHAIN = 2
+#: Content words from one anchor to the next, beyond which ``whole`` takes all chains between them.
+STRETCH = 2 * CHAIN
 THRESHOLD = 0.8
 #: Buckets a partition of the ordered documents gets, on average, so that hashing spreads them evenly.
 BUCKETS_PER_PARTITION = 8
@@ -27,12 +31,13 @@ BUCKETS_PER_PARTITION = 8
 MOST_RUNS = 50_000
 
 
-def signatures(text: Column, chain: int = CHAIN, anchors: dict[str, list[str]] = ANCHORS) -> list[tuple[str, Column]]:
+def signatures(text: Column, chain: int = CHAIN, anchors: dict[str, list[str]] = ANCHORS, whole: bool = False) -> list[tuple[str, Column]]:
     """Steps of columns, to be added one after another; the last is ``_sigs``, the sorted distinct 64-bit signatures.
 
     Words are in lower case. The text's start is an anchor too. A chain that the text's end cuts short counts as it is,
     one without any content word does not. A text with words but without signatures has one, of all its words; null and
-    empty texts have none.
+    empty texts have none. With ``whole``, all chains of content words count too where more than ``STRETCH`` of them have no
+    anchor between, and everywhere in a text without anchors.
     """
     common = sorted({w for ws in anchors.values() for w in ws})
     at, low = F.col("_anchor"), F.col("_low")
@@ -40,19 +45,24 @@ def signatures(text: Column, chain: int = CHAIN, anchors: dict[str, list[str]] =
     one = F.transform(at, lambda p, r: F.when(F.get("_content", p - r).isNotNull(), F.xxhash64(F.get(low, p), *[F.get("_content", p - r + j) for j in range(chain)])))
     start = F.when(F.size("_content") > 0, F.xxhash64(F.lit("^"), *[F.get("_content", F.lit(j)) for j in range(chain)]))
     found = F.array_compact(F.concat(F.array(start), one))
-    whole = F.when(F.size(low) > 0, F.array(F.xxhash64(F.array_join(low, " ")))).otherwise(F.array().cast("array<bigint>"))
+    # the r-th bound has as many content words before it; the first is the text's start, the last its end
+    bounds = F.concat(F.array(F.lit(0)), F.transform(at, lambda p, r: p - r), F.array(F.size("_content")))
+    far = F.transform("_bounds", lambda x, r: F.when(F.get("_bounds", r + 1) - x > F.when(F.size(at) > 0, STRETCH).otherwise(0), F.sequence(x, F.get("_bounds", r + 1) - 1)).otherwise(F.array().cast("array<int>")))
+    more = F.transform("_far", lambda k: F.xxhash64(F.lit("~"), *[F.get("_content", k + j) for j in range(chain)]))
+    every = F.when(F.size(low) > 0, F.array(F.xxhash64(F.array_join(low, " ")))).otherwise(F.array().cast("array<bigint>"))
     return [
         ("_low", words(F.lower(text))),
         ("_content", F.filter("_low", lambda w: ~w.isin(common))),
         ("_anchor", F.array_compact(F.transform("_low", lambda w, i: F.when(w.isin(common), i)))),
-        ("_sigs", F.array_sort(F.array_distinct(F.when(F.size("_content") > 0, found).otherwise(whole)))),
+        *([("_bounds", bounds), ("_far", F.flatten(far))] if whole else []),
+        ("_sigs", F.array_sort(F.array_distinct(F.when(F.size("_content") > 0, F.concat(found, more) if whole else found).otherwise(every)))),
     ]
 
 
-def with_signatures(df: DataFrame, text: str, name: str) -> DataFrame:
+def with_signatures(df: DataFrame, text: str, name: str, whole: bool = False) -> DataFrame:
     """``df`` and the column ``name``, the signatures of ``text``."""
     keep = df.columns
-    for step, column in signatures(F.coalesce(F.col(text), F.lit(""))):
+    for step, column in signatures(F.coalesce(F.col(text), F.lit("")), whole=whole):
         df = df.withColumn(step, column)
     return df.select(*keep, F.col("_sigs").alias(name))
 
@@ -70,7 +80,7 @@ def likeness(a: Column, b: Column, threshold: float = 0.0) -> Column:
     return F.when((most > 0) & (least < most * threshold), F.lit(0.0)).otherwise(exact).cast("double") if threshold else exact.cast("double")
 
 
-def search(docs: DataFrame, queries: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def search(docs: DataFrame, queries: DataFrame, threshold: float = THRESHOLD, whole: bool = False) -> DataFrame:
     """(query_id, doc_id, likeness) of every query and document whose likeness is at least ``threshold``, above 0.
 
     Equal signature sets are compared once. Sets are partitioned by length: runs of lengths so that like sets lie in the
@@ -82,7 +92,7 @@ def search(docs: DataFrame, queries: DataFrame, threshold: float = THRESHOLD) ->
         raise ValueError("a threshold lies above 0 and is 1 at most")
 
     def sets(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-        full = with_signatures(df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text", "sigs").where(F.size("sigs") > 0)
+        full = with_signatures(df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text", "sigs", whole).where(F.size("sigs") > 0)
         full = full.select("doc_id", "sigs", *row_key(F.col("sigs")))
         return full.groupBy("_k1", "_k2").agg(F.any_value("sigs").alias("sigs")), full.select("doc_id", "_k1", "_k2")
 
@@ -109,7 +119,7 @@ def _bounds(docs: DataFrame, n: int) -> list:
     return sorted(set(found or []))
 
 
-def with_next(docs: DataFrame, sigs: bool = True) -> DataFrame:
+def with_next(docs: DataFrame, sigs: bool = True, whole: bool = False) -> DataFrame:
     """(doc_id, text, [sigs,] next_text, [next_sigs,]): each document beside the next one in descending order of doc_id; the last beside the first.
 
     Documents are dealt into runs of ids; each run gets a copy of the first document of the run below, so that no run needs
@@ -138,7 +148,7 @@ def with_next(docs: DataFrame, sigs: bool = True) -> DataFrame:
     w = Window.partitionBy("_run").orderBy(*order)
     out = both.withColumn("next_text", F.lead("text").over(w))
     if sigs:
-        out = with_signatures(out, "text", "sigs").withColumn("next_sigs", F.lead("sigs").over(w))
+        out = with_signatures(out, "text", "sigs", whole).withColumn("next_sigs", F.lead("sigs").over(w))
     return out.where("_ghost = 0").drop("_run", "_ghost")
 
 
@@ -153,16 +163,17 @@ def _placed(docs: DataFrame, bounds: list, name: str) -> DataFrame:
     return docs.select(*[c for c in docs.columns if c != name], place)
 
 
-def edited_fingerprints(docs: DataFrame) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, whole: bool = False) -> DataFrame:
     """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text keeps the first half (rounded up) and takes as many characters from the next document's start as it
-    lost, or all of it. A null text is empty; extra columns are ignored.
+    lost, or all of it. A null text is empty; extra columns are ignored. ``whole`` is that of
+    ``signatures``.
     """
-    out = with_next(docs).withColumn("n_chars", F.length("text"))
+    out = with_next(docs, whole=whole).withColumn("n_chars", F.length("text"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     out = out.withColumn("_edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars") - half), F.substring("next_text", F.lit(1), half)))
-    out = with_signatures(out.select("doc_id", "n_chars", "sigs", "next_sigs", "_edited"), "_edited", "edited_sigs")
+    out = with_signatures(out.select("doc_id", "n_chars", "sigs", "next_sigs", "_edited"), "_edited", "edited_sigs", whole)
     return out.select(
         "doc_id", F.col("n_chars").cast("long").alias("n_chars"), F.sha2("_edited", 256).alias("edited_sha256"),
         fingerprint(F.col("sigs")).alias("fingerprint"), fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"),
