@@ -1,3 +1,4 @@
+import functools
 import random
 import re
 
@@ -72,3 +73,36 @@ def test_tables_are_bounded(monkeypatch):
     monkeypatch.setattr(U, "MOST_LABELLED", 1)
     with pytest.raises(ValueError, match="at most"):
         U.train(U.labelled_urls())
+
+
+@pytest.mark.parametrize(("url", "label"), [
+    ("https://neutral.org/porn/casino-poker", 1), ("https://kurier.at/casino/free-slots", 1), ("https://www.harbour.nl/online-poker.html", 1), ("https://files.bluesky.edu/2024/viagra-pills/cheap", 1), ("https://therst.example.com/en/casino-win/12", 1),
+    ("https://neutral.org/history/museum-garden", 0), ("https://kurier.at/weather/today", 0), ("https://docs.oracle.com/library/guide.html", 0), ("https://www.sueddeutsche.de/", 0), ("https://en.wiktionary.org/wiki/House", 0), ("https://therst.example.com/en/1234", 0),
+    ("https://casino-royal-slots.com/news/weather", 1), ("https://best-porn.net/history/museum", 1),
+])
+def test_paths_count_as_hosts_do(url, label):
+    host, path = U.split_url(url)
+    assert "neutral.org" not in {U.split_url(u)[0] for u, _ in U.labelled_urls()}
+    assert (U.score(*model(), host, path) >= U.THRESHOLD) == bool(label)
+
+
+def test_unseen_paths_on_neutral_hosts():
+    table = U.labelled_urls()
+    hosts = {}
+    for u, y in table:
+        hosts.setdefault(U.split_url(u)[0], set()).add(y)
+    mixed = [(u, y) for u, y in table if len(hosts[U.split_url(u)[0]]) == 2]  # only the path tells these apart
+    held = set(mixed[::5])
+    assert len(held) > 150 and {y for _, y in held} == {0, 1}
+    w, b = U.train([x for x in table if x not in held])
+    assert sum((U.score(w, b, *U.split_url(u)) >= 0.5) == y for u, y in held) / len(held) > 0.95
+
+
+@functools.cache
+def model():
+    return U.train(U.labelled_urls())
+
+
+def test_a_bad_path_is_blocked(spark):
+    got = U.judge(spark.createDataFrame([(1, "https://neutral.org/porn/casino-poker"), (2, "https://neutral.org/history/museum")], "page_id long, url string")).collect()
+    assert [(r.rule, r.verdict) for r in sorted(got, key=lambda r: r.page_id)] == [(None, "block"), (None, "allow")]

@@ -24,7 +24,7 @@ RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 
 
 def labelled_urls() -> list[tuple[str, int]]:
-    """The small labelled table: (url, 1 to block), made of words that such hosts are named with and of ordinary ones."""
+    """The small labelled table: (url, 1 to block), made of words that such hosts and paths are named with and of ordinary ones."""
     subjects = "adult porn sex xxx casino poker slots bet bets pills viagra pharma spam loan ads track popup warez crack escort".split()
     manners = "free win cheap best farm x online hot deal easy".split()
     plain = "news city house garden river school science music travel food history weather sport health library museum market forum blog shop theory person station water".split()
@@ -36,6 +36,27 @@ def labelled_urls() -> list[tuple[str, int]]:
     for i, (a, b) in enumerate(product(plain, second)):
         host = (f"{a}{b}", f"{b}-{a}", a, f"{a}-{b}")[i % 4]
         out.append((f"https://{('', 'www.', 'm.', 'blog.')[i // 4 % 4]}{host}.{('com', 'net', 'org')[i % 3]}/{('en', 'de', 'fr', 'es')[i % 4]}/{1000 + 37 * i}", 0))
+    # hosts of all sorts, whose pages are told apart by their paths alone; bad hosts stay bad whatever the path says
+    tops = "com org net de fr es co.uk io info eu edu gov nl it at ch".split()
+    known = "wikipedia github google bbc lemonde spiegel elpais nytimes python mozilla apache nasa mit stanford arxiv nature stackoverflow archive gutenberg reuters guardian zeit lefigaro marca amazon ebay microsoft apple debian kernel".split()
+    syllables = "ba ke lo mi nu ra se ti vo zan kur tel mar pol ven dor gri hal fen wick".split()
+    hosts = [f"{k}.{tops[i % len(tops)]}" for i, k in enumerate([*known, *plain])]
+    hosts += [f"{x}{y}{syllables[(3 * i + 1) % len(syllables)] if i % 2 else ''}.{tops[i % len(tops)]}" for i, (x, y) in enumerate(product(syllables, syllables))]
+    hosts = [("", "www.", "en.", "docs.", "m.", "blog.", "")[i % 7] + h for i, h in enumerate(hosts)]
+
+    def path(i: int, a: str, b: str) -> str:
+        return (f"/{a}/{b}", f"/{b}-{a}.html", f"/en/{a}-{b}/{37 * i}", f"/{a}", f"/category/{a}/{b}-{i}", f"/wiki/{a.title()}_{b.title()}", f"/{i}/{b}/{a}/index.php", f"/{b}{a}/")[i % 8]
+
+    bad = [(a, b) for a in subjects for b in [*manners, *subjects]]
+    good = [(a, b) for a in [*plain, *"about contact article page index docs guide help events people research".split()] for b in [*second, *plain]]
+    for i, (a, b) in enumerate(bad):
+        out.append((f"https://{hosts[17 * i % len(hosts)]}{path(i // 3, a, b)}", 1))
+    for i, (a, b) in enumerate(good):
+        out.append((f"https://{hosts[17 * i % len(hosts)]}{path(i // 3, a, b)}", 0))
+    out += [(f"https://{h}{('/', '', '/en/12', '/2024/01/31/')[i % 4]}", 0) for i, h in enumerate(hosts)]
+    for i, (a, b) in enumerate(product(subjects, manners)):
+        c, d = good[13 * i % len(good)]
+        out.append((f"https://{('', 'www.', 'm.')[i % 3]}{(f'{a}{b}', f'{b}-{a}')[i % 2]}.{tops[i % len(tops)]}{path(i // 2, c, d)}", 1))
     sounds = "th er on in an re nd ti es or te of ed is it al ar st to nt".split()
     for i in range(600):  # names without meaning are ordinary too
         host = "".join(sounds[(i * m + m * m) % len(sounds)] for m in (3, 7, 11)[: 2 + i % 2])
@@ -58,16 +79,16 @@ def split_url(url: str | None) -> tuple[str, str]:
 
 
 def features(host: str, path: str, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct hashed n-grams of host and path and their values: the host's make a vector of length 1, the path's of length 1/4.
+    """The distinct hashed n-grams of host and path and their values: the host's and the path's each make a vector of length 1.
 
     Digits of paths are all alike.
     """
     parts, values = [], []
-    for mark, length, s in ((1, 1.0, f"^{host}$"), (2, 0.25, "".join("0" if "0" <= c <= "9" else c for c in f"^{path}$"))):
+    for mark, s in ((1, f"^{host}$"), (2, "".join("0" if "0" <= c <= "9" else c for c in f"^{path}$"))):
         b = s.encode("utf-8", "replace")
         grams = {zlib.crc32(b[i : i + n], mark) % buckets for n in SIZES for i in range(len(b) - n + 1)}
         parts.append(np.fromiter(sorted(grams), np.int64, len(grams)))
-        values.append(np.full(len(grams), length / max(1, len(grams)) ** 0.5))
+        values.append(np.full(len(grams), 1 / max(1, len(grams)) ** 0.5))
     return np.concatenate(parts), np.concatenate(values)
 
 
