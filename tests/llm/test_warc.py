@@ -1,6 +1,8 @@
 import base64
+import gzip
 import hashlib
 import json
+import zlib
 
 import pytest
 
@@ -65,3 +67,38 @@ def test_query_and_edge_cases(spark):
     assert W.build(both).count() == 2
     with pytest.raises(Exception, match="no record at byte 0"):
         W.build(spark.createDataFrame([(1, b"junk")], "page_id long, warc binary")).collect()
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<body><form action=/x><p>prose <b>here</b></p><select><option>no</select><textarea>no</textarea><button>no</button><p>more</p></form></body>", "prose here\nmore"),
+    ("a<svg width='1'/>b<p>c", "a b\nc"), ("a<object data=x />b", "a b"), ("a<svg>b<p>c", "ab\nc"), ("a<object data=x>b<p>c", "ab\nc"), ("a<template>b", "ab"), ("a<svg><path d='M0'/><text>no</text></svg>b", "a b"),
+    ("<svg/><p>one</p><svg><text>no</text></svg><p>two", "one\ntwo"), ("<nav>no</nav>b<footer>no</footer>c", "b\nc"), ("<script/>no", ""),
+])
+def test_prose_is_kept(page, text):
+    assert W.plain_text(page) == text
+
+
+def test_many_open_sections_take_linear_time():
+    for unit in ("<svg>", "<svg/>", "<nav>", "<object/"):
+        W.plain_text(unit * 20_000)
+
+
+def chunked(data, n=7):
+    return b"".join(b"%x;x=1\r\n%b\r\n" % (len(data[i : i + n]), data[i : i + n]) for i in range(0, len(data), n)) + b"0\r\nTrailer: x\r\n\r\n"
+
+
+RAW = "<title>T</title><p>é prose</p>".encode()
+DEFLATE = zlib.compressobj(wbits=-15)
+BARE = DEFLATE.compress(RAW) + DEFLATE.flush()
+
+
+@pytest.mark.parametrize(("names", "body"), [
+    ("Transfer-Encoding: chunked", chunked(RAW)), ("Content-Encoding: gzip", gzip.compress(RAW)), ("content-encoding: X-GZIP", gzip.compress(RAW[:9]) + gzip.compress(RAW[9:])), ("Content-Encoding: deflate", zlib.compress(RAW)), ("Content-Encoding: deflate", BARE),
+    ("Content-Encoding: gzip\r\nTransfer-Encoding: chunked", chunked(gzip.compress(RAW))), ("Transfer-Encoding: gzip, chunked", chunked(gzip.compress(RAW))), ("Content-Encoding: deflate, gzip", gzip.compress(zlib.compress(RAW))),
+    ("Content-Encoding: gzip", RAW), ("Transfer-Encoding: chunked", RAW), ("Content-Encoding: br", RAW),
+])
+def test_encodings_are_undone(names, body):
+    block = f"HTTP/1.1 200 OK\r\n{names}\r\n\r\n".encode() + body
+    (_, fields), (conv, text) = W.derivatives({"warc-record-id": "r", "warc-ip-address": "10.0.0.1", "x-own": "é"}, block)
+    assert text.decode() == "T\né prose" and json.loads(fields)["title"] == "T"
+    assert json.loads(fields)["payload-digest"] == sha1(body) and json.loads(fields)["warc-headers"] == [["warc-record-id", "r"], ["warc-ip-address", "10.0.0.1"], ["x-own", "é"]]

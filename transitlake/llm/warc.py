@@ -12,6 +12,7 @@ import html
 import json
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -22,12 +23,17 @@ VERSION = "WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"
 _SPACE = uuid.UUID("b7f3f1de-6d31-5b0e-9a52-0c1f6a5f2a10")
 # HTML elements that hold no prose, and those that begin a line of their own.
-_SILENT = "script style noscript template svg math iframe object head nav footer aside form button select textarea".split()
+_SILENT = "script style noscript template svg math iframe object head nav footer aside button select textarea".split()
 _BLOCKS = "address article blockquote br caption dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 header hr li main ol p pre section summary table tbody td tfoot th thead tr ul".split()
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)", re.S)
-_RAW = re.compile(r"<(script|style|noscript|template|svg|math|iframe|object|textarea)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+# What HTML never reads as markup runs to its end tag or the text's end, slash or not; other elements end at their tag if
+# it closes itself or nothing closes them.
+_RAW = re.compile(r"<(script|style|noscript|iframe|textarea)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_CLOSED = re.compile(r"<(?:template|svg|math|object)\b[^<>]*/>", re.I)
+_INLINE = frozenset("template svg math object".split())
+_CHUNK = re.compile(rb"([0-9A-Fa-f]{1,16})[ \t]*(?:;[^\r\n]*)?\r\n")
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
-_SECTION = re.compile(rf"<({'|'.join(x for x in _SILENT)})\b[^>]*>.*?</\1\s*>", re.S | re.I)
+_SECTION = re.compile(rf"<(/?)({'|'.join(x for x in _SILENT)})\b[^>]*>", re.I)
 _BREAK = re.compile(rf"</?(?:{'|'.join(_BLOCKS)})\b[^>]*>", re.I)
 _TAG = re.compile(r"<(?:[A-Za-z/!?][^>]*)(?:>|\Z)")
 _LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -85,10 +91,75 @@ def http_parts(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     return first, [(k.strip(), v.strip()) for k, _, v in (x.partition(":") for x in rest)], body
 
 
+def _without_sections(page: str) -> str:
+    """Without the silent elements, from a tag to the first end tag of its name; a tag that nothing closes is left to stand alone."""
+    tags = [(m.start(), m.end(), m[1], m[2].lower()) for m in _SECTION.finditer(page)]
+    after: list[int] = []  # the end of the first end tag from each tag on, of that tag's name
+    closing: dict[str, int] = {}
+    for _, end, slash, name in reversed(tags):
+        if slash:
+            closing[name] = end
+        after.append(closing.get(name, 0))
+    out, at = [], 0
+    for (start, _, slash, name), stop in zip(tags, reversed(after), strict=True):
+        if start >= at and not slash and stop:
+            out += [page[at:start], " " if name in _INLINE else "\n"]
+            at = stop
+    return "".join([*out, page[at:]])
+
+
+def _dechunked(body: bytes) -> bytes:
+    """A body without its chunked framing; what is not framed so stays, and what a broken frame held is kept."""
+    out, at = [], 0
+    while m := _CHUNK.match(body, at):
+        n = int(m[1], 16)
+        if n == 0:
+            return b"".join(out)
+        out.append(body[m.end() : m.end() + n])
+        at = m.end() + n
+        at += 2 * (body[at : at + 2] == b"\r\n")
+    return b"".join([*out, body[at:]])
+
+
+def _inflated(body: bytes, wbits: int) -> bytes:
+    """All members of a compressed body; of a broken one what could be read."""
+    out = []
+    while body:
+        d = zlib.decompressobj(wbits)
+        try:
+            for i in range(0, len(body), 1 << 16):
+                out.append(d.decompress(body[i : i + (1 << 16)]))
+                if d.eof:
+                    rest = d.unused_data + body[i + (1 << 16) :]
+                    break
+            else:
+                rest = b""
+        except zlib.error:
+            return b"".join(out)
+        body = rest if rest[:2] == b"\x1f\x8b" else b""
+    return b"".join(out)
+
+
+def decoded_body(headers: list[tuple[str, str]], body: bytes) -> bytes:
+    """The body without its Transfer- and Content-Encodings: chunked, gzip and deflate, the last first. Others, and bodies that a crawler stored decoded, stay."""
+    for wanted in ("transfer-encoding", "content-encoding"):
+        codings = [c.strip().lower() for k, v in headers if k.lower() == wanted for c in v.split(",")]
+        for coding in reversed(codings):
+            if coding == "chunked":
+                body = _dechunked(body)
+            elif coding in ("gzip", "x-gzip") and body[:2] == b"\x1f\x8b":
+                body = _inflated(body, 31)
+            elif coding == "deflate":
+                # a zlib stream says so in its first two bytes; some servers send the bare one
+                framed = len(body) > 1 and body[0] & 15 == 8 and (body[0] << 8 | body[1]) % 31 == 0
+                body = _inflated(body, 15 if framed else -15) or body
+    return body
+
+
 def plain_text(page: str) -> str:
-    """The visible prose of a page: no scripts, styles, menus, footers or comments; one line for each block, spaces made one."""
+    """The visible prose of a page: no scripts, styles, menus, footers, controls of forms, drawings, embedded objects or comments; one line for each block, spaces made one."""
     page = _RAW.sub(" ", _COMMENT.sub("", page))
-    page = _SECTION.sub("\n", page)
+    page = _without_sections(_CLOSED.sub(" ", page))
     page = _TAG.sub("", _BREAK.sub("\n", page))
     lines = (" ".join(x.split()) for x in html.unescape(page).split("\n"))
     return "\n".join(x for x in lines if x)
@@ -106,15 +177,15 @@ def _charset(headers: list[tuple[str, str]]) -> str:
 
 
 def derivatives(headers: dict[str, str], block: bytes) -> list[tuple[list[tuple[str, str]], bytes]]:
-    """The metadata and the conversion record of a response record, as headers and block."""
+    """The metadata and the conversion record of a response record, as headers and block. The metadata holds all of the source's WARC and HTTP headers."""
     source, url, date = headers["warc-record-id"], headers.get("warc-target-uri", ""), headers.get("warc-date", DATE)
     status, http, body = http_parts(block)
-    page = body.decode(_charset(http), "replace")
+    page = decoded_body(http, body).decode(_charset(http), "replace")
     payload = headers.get("warc-payload-digest") or digest(body)
     title, lang = _TITLE.search(page), _LANG.search(page)
     links = list(dict.fromkeys(html.unescape(next(x for x in m.groups() if x is not None)) for m in _LINK.finditer(page)))
     fields = {
-        "status": status, "http-headers": http, "block-digest": headers.get("warc-block-digest") or digest(block), "payload-digest": payload,
+        "status": status, "warc-headers": [[k, v] for k, v in headers.items()], "http-headers": http, "block-digest": headers.get("warc-block-digest") or digest(block), "payload-digest": payload,
         "title": " ".join(html.unescape(title[1]).split()) if title else None, "lang": lang[1].lower() if lang else None, "links": links,
     }
     meta, text = json.dumps(fields, ensure_ascii=False).encode("utf-8", "replace"), plain_text(page).encode("utf-8", "replace")
