@@ -113,3 +113,13 @@ def test_the_query_sees_texts_whole(spark, tmp_path):
     spark.createDataFrame([(1, "alpha beta gamma delta"), (2, "alpha beta other words")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     a, b = op4_document_fingerprints(spark, str(tmp_path)).collect()
     assert a.fingerprint != b.fingerprint and a.near_next < 0.5
+
+
+def test_search_with_a_very_common_signature(spark, prose):
+    # all texts share their opening, most of them little else
+    texts = {i: "the common opening " + prose(i % 40, 30 + i % 7) + (" of late" if i % 3 else "") for i in range(200)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    sets = {i: sigs(t) for i, t in texts.items()}
+    assert set.intersection(*sets.values())
+    got = {(r.query_id, r.doc_id): r.likeness for r in S.search(df, df.where("doc_id % 5 = 0"), 0.8).collect()}
+    assert got == pytest.approx({(i, j): jaccard(a, b) for i, a in sets.items() for j, b in sets.items() if i % 5 == 0 and jaccard(a, b) >= 0.8})
