@@ -7,6 +7,9 @@ Format, one trio of files per partition, ``part-00000`` upwards in ascending doc
 * ``.doc``: the document ids, an Arrow file with the column ``doc_id``.
 
 ``.bin`` and ``.idx`` are made for ``numpy.memmap``. A partition's base is the prefix sum of the id counts before it.
+
+A special token's name in a text, such as ``<|endoftext|>``, is encoded as the characters it is written with, where the
+library's default would give the token's own id: no text can forge the end of a document.
 """
 
 from __future__ import annotations
