@@ -25,7 +25,6 @@ MASKS = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>"}
 
 # The patterns are those of the plain reading. Where a match could only begin inside a run of digits if it had failed at
 # the run's start, the look-behind says so, which keeps long runs from being tried at every digit.
-_LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -58,6 +57,11 @@ def _digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
 
+def _ordered(spans) -> list[tuple[int, int, int]]:
+    """Spans by start, then kind as listed; of a kind's spans that start together the shorter first."""
+    return sorted(spans, key=lambda s: (s[0], s[2], s[1]))
+
+
 def plain_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, end, kind's place in KINDS), leftmost and non-overlapping for each kind; failing matches are dropped, not retried."""
     out = [(a, b, 0) for a, b in _emails(text)] if "@" in text else []
@@ -72,7 +76,7 @@ def plain_spans(text: str) -> list[tuple[int, int, int]]:
         for m in _PHONE.finditer(text):
             if 10 <= len(_digits(m[0])) <= 15:
                 out.append((*m.span(), 3))
-    return sorted(out)
+    return _ordered(out)
 
 
 # Characters that look like ASCII letters, digits and marks, beyond those that compatibility forms (NFKC) map there.
@@ -240,7 +244,7 @@ def normal_forms(text: str) -> list[Normal]:
 
 
 def every_span(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
-    """(plain spans, all spans), each sorted by start, end and kind: beside the plain ones all that the normal form shows.
+    """(plain spans, all spans), each sorted by start and kind: beside the plain ones all that the normal forms show.
 
     A disguised identifier of which the plain reading has a piece gives a span of its own around that piece.
     """
@@ -248,17 +252,7 @@ def every_span(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
     found = {(*normal.source(a, b), kind) for normal in normal_forms(text) for a, b, kind in plain_spans(normal.text)}
     if not found:
         return base, base
-    return base, sorted([*base, *(found - set(base))])
-
-
-def all_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
-    """``every_span`` without those added spans that overlap another; the operator itself takes every span."""
-    base, every = every_span(text)
-    added: list[tuple[int, int, int]] = []
-    for start, end, kind in sorted(set(every) - set(base)):
-        if all(end <= x or start >= y for x, y, _ in [*base, *added]):
-            added.append((start, end, kind))
-    return base, sorted(base + added)
+    return base, _ordered(found | set(base))
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:
