@@ -16,7 +16,6 @@ PATH = T.default_tokenizer()
 @pytest.fixture(scope="module")
 def plain():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -30,6 +29,27 @@ def test_encoder_equals_the_tokenizer(plain, text):
     assert np.frombuffer(encoder([text], 2)[0], encoder.width).tolist() == [*plain(text), 2]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", " ", "  ", "\n", "a", "word.", "漢", "<|", "|>"]), max_size=12).map("".join))
+def test_special_names_are_read_as_the_library_does(plain, text):
+    encoder, ordinary = T.encoder_of(PATH), Tokenizer.from_file(PATH)
+    assert np.frombuffer(encoder([text], 2)[0], encoder.width).tolist() == [*plain(text), 2]
+    ordinary.encode_special_tokens = True
+    encoder = T.encoder_of(PATH, True)
+    assert np.frombuffer(encoder([text], 2)[0], encoder.width).tolist() == [*ordinary.encode(text, add_special_tokens=False).ids, 2]
+
+
+def test_a_special_name_has_its_own_id():
+    encoder = T.encoder_of(PATH)
+    assert np.frombuffer(encoder(["a <|endoftext|> b"], 2)[0], encoder.width).tolist() == [64, 220, 50256, 275, 2]
+
+
+def test_ids_keep_their_type(spark, plain):
+    df = spark.createDataFrame([("x", "one <|endoftext|> two"), (None, None), ("a", "three")], "doc_id string, text string")
+    assert sorted(((r.doc_id, r.n_tokens) for r in T.token_files(df).collect()), key=str) == sorted([("x", len(plain("one <|endoftext|> two")) + 1), (None, 1), ("a", len(plain("three")) + 1)], key=str)
+    assert {(r.doc_id, r.doc_tokens) for r in P.pack_documents(df).collect()} == {("x", len(plain("one <|endoftext|> two")) + 1), (None, 1), ("a", len(plain("three")) + 1)}
+
+
 def test_memory_is_bounded(plain, monkeypatch):
     monkeypatch.setattr(T, "REMEMBERED", 10)
     encoder = T.Encoder(PATH)

@@ -169,6 +169,8 @@ def pack_documents(docs: DataFrame, limits: Limits = Limits(), end_id: int = 1,
     path = tokenizer or default_tokenizer()
     most = min(limits.tokens, limits.loss_tokens)
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
+    own = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    kind = own.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, packer, high = encoder_of(path), Packer(limits, cut=True, pool=pool), TaskContext.get().partitionId() << LOCAL_BITS
@@ -179,15 +181,17 @@ def pack_documents(docs: DataFrame, limits: Limits = Limits(), end_id: int = 1,
                 part = ids[start : start + length]
                 out.append((doc_id, before + start, length, crc_of(part), before + len(ids), high + sequence, offset) + ((part,) if with_ids else ()))
 
-        def given() -> pa.RecordBatch:
-            columns = [pa.array(x, pa.int64()) for x in list(zip(*out, strict=True))[:7]]
+        def given(like: pa.DataType) -> pa.RecordBatch:
+            columns = [pa.array(x, like if i == 0 else pa.int64()) for i, x in enumerate(list(zip(*out, strict=True))[:7])]
             if with_ids:
                 ends = np.cumsum([0, *(len(x[7]) for x in out)]).astype(np.int32)
                 columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([x[7] for x in out]).astype(np.int32))))
             out.clear()
             return pa.RecordBatch.from_arrays(columns, names)
 
+        like = pa.int64()
         for batch in in_rows(batches):
+            like = batch.schema.field("doc_id").type
             for doc_id, blob in zip(batch.column("doc_id").to_pylist(), encoder(batch.column("text").to_pylist(), end_id), strict=True):
                 ids, at = np.frombuffer(blob, encoder.width), 0
                 while len(ids) - at >= most:
@@ -196,10 +200,9 @@ def pack_documents(docs: DataFrame, limits: Limits = Limits(), end_id: int = 1,
                     at += most
                 place(packer.feed((doc_id, ids[at:], at), len(ids) - at, len(ids) - at))
             if out:
-                yield given()
+                yield given(like)
         place(packer.rest())
         if out:
-            yield given()
+            yield given(like)
 
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return own.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids)
+    return own.mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids)

@@ -8,8 +8,9 @@ Format, one trio of files per partition, ``part-00000`` upwards in ascending doc
 
 ``.bin`` and ``.idx`` are made for ``numpy.memmap``. A partition's base is the prefix sum of the id counts before it.
 
-A special token's name in a text, such as ``<|endoftext|>``, is encoded as the characters it is written with, where the
-library's default would give the token's own id: no text can forge the end of a document.
+A text is encoded as ``Tokenizer.encode(text, add_special_tokens=False)`` does: a special token's name in it, such as
+``<|endoftext|>``, gets the token's own id. With ``special_as_text`` it is encoded as the characters it is written with, so
+that no text can forge the end of a document.
 """
 
 from __future__ import annotations
@@ -68,13 +69,15 @@ def _cut(text: str) -> list[str]:
 class Encoder:
     """Byte-level BPE of whole texts, equal to ``Tokenizer.encode``; pieces between single spaces are remembered."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        # texts that hold the name of an added token go through the library whole
+        self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values() if not (special_as_text and x.special)]
         self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.width = np.dtype("<u2") if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.dtype("<u4")
         self.code = "H" if self.width.itemsize == 2 else "I"
@@ -125,6 +128,9 @@ class Encoder:
                 memory.update(first)
         look = known.get
         for text in texts:
+            if any(x in text for x in self.added):
+                out.append(self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids) + end)
+                continue
             first, *rest = _cut(text)
             blobs = [self._piece(first)]
             blobs += map(look, rest)
@@ -139,14 +145,15 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder_of(path: str) -> Encoder:
-    """One encoder per worker process, kept from task to task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder_of(path: str, special_as_text: bool = False) -> Encoder:
+    """One encoder per worker process and way, kept from task to task."""
+    key = (path, special_as_text)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(*key)
+    return _ENCODERS[key]
 
 
 def crc_of(ids: np.ndarray) -> int:
@@ -168,13 +175,18 @@ def file_system(path: str) -> tuple[pafs.FileSystem, str]:
 def _put(fs: pafs.FileSystem, path: str, parts: Iterator[bytes]) -> None:
     """Written under a name of this attempt's own, then moved: a retried task leaves whole files only."""
     temporary = f"{path}.{uuid.uuid4().hex}"
-    with fs.open_output_stream(temporary) as out:
-        for x in parts:
-            out.write(x)
-    fs.move(temporary, path)
-
-
-def write_tokens(docs: DataFrame, folder: str, end_id: int = 2, tokenizer: str | None = None, partitions: int | None = None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    try:
+        with fs.open_output_stream(temporary) as out:
+            for x in parts:
+                out.write(x)
+        fs.move(temporary, path)
+    except BaseException:
+        if fs.get_file_info(temporary).type == pafs.FileType.File:
+            fs.delete_file(temporary)
+        raise
+
+
+def write_tokens(docs: DataFrame, folder: str, end_id: int = 2, tokenizer: str | None = None, partitions: int | None = None, text: str = "text", doc_id: str = "doc_id", special_as_text: bool = False) -> DataFrame:
     """Writes the ids of all documents below ``folder`` in ascending order of ``doc_id``; returns (part, n_docs, n_ids, base, width).
 
     Null ids come first; equal ids go by text. A null text is empty and has the end id alone. Rows that repeat are
@@ -190,7 +202,7 @@ def write_tokens(docs: DataFrame, folder: str, end_id: int = 2, tokenizer: str |
     ordered = docs.withColumn("_h", F.xxhash64("text")).repartitionByRange(n, F.col("doc_id").asc_nulls_first(), "_h").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "_h", "text").drop("_h")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = encoder_of(path), TaskContext.get().partitionId()
+        encoder, part = encoder_of(path, special_as_text), TaskContext.get().partitionId()
         fs, base = file_system(folder)
         fs.create_dir(base, recursive=True)
         counts: list[np.ndarray] = []
@@ -240,9 +252,9 @@ def write_tokens(docs: DataFrame, folder: str, end_id: int = 2, tokenizer: str |
     return staged(spark.createDataFrame(rows, schema).repartition(len(rows), "part").mapInArrow(index, schema), folder, "bases")
 
 
-def read_tokens(parts: DataFrame, folder: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, from the files that ``parts`` lists."""
-    schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
+def read_tokens(parts: DataFrame, folder: str, kind: str = "long") -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of every document, from the files that ``parts`` lists; ids are of the type ``kind``, their own."""
+    schema = f"doc_id {kind}, start long, n_tokens long, ids_crc32 long"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, where = file_system(folder)
@@ -255,7 +267,7 @@ def read_tokens(parts: DataFrame, folder: str) -> DataFrame:
                 else:
                     ids, at = (np.frombuffer(fs.open_input_file(f"{name}{x}").read(), t) for x, t in ((".bin", width), (".idx", "<u8")))
                     names = pa.ipc.open_file(fs.open_input_file(f"{name}.doc")).read_all()
-                names, base = names.column("doc_id").cast(pa.int64()).combine_chunks(), int(at[0])
+                names, base = names.column("doc_id").combine_chunks(), int(at[0])
                 for i in range(0, len(names), 4096):
                     a = at[i : i + 4097].astype(np.int64)
                     crc = [crc_of(ids[s - base : e - base]) for s, e in zip(a[:-1].tolist(), a[1:].tolist(), strict=True)]
@@ -266,6 +278,10 @@ def read_tokens(parts: DataFrame, folder: str) -> DataFrame:
 
 
 def token_files(docs: DataFrame, end_id: int = 2, tokenizer: str | None = None, folder: str | None = None) -> DataFrame:
-    """Writes the files into a new shared folder (or ``folder``) and reads them back: one row per document."""
+    """Writes the files into a new shared folder (or ``folder``) and reads them back: one row per document.
+
+    A null or empty text has the end id alone; equal ids go by text, repeated rows come out as often as they went in, an
+    empty table gives no files and no rows; other columns are ignored.
+    """
     folder = folder or f"{shared_dir(docs.sparkSession)}/tokens"
-    return read_tokens(write_tokens(docs, folder, end_id, tokenizer), folder)
+    return read_tokens(write_tokens(docs, folder, end_id, tokenizer), folder, docs.schema["doc_id"].dataType.simpleString())
