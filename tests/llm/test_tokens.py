@@ -123,6 +123,27 @@ def test_documents_are_packed_whole(spark, plain, prose, limits):
         assert padding == 0
 
 
+@pytest.mark.parametrize("n", [1, 3, 5, 20])
+def test_short_documents_leave_little_padding(plain, n):
+    packer, limits, rows = P.Packer(P.Limits(), cut=True), P.Limits(), []
+    for k in range(20_000 // n):
+        rows += packer.feed(k, n, n)
+    rows += packer.rest()
+    held = {}
+    for _, _, length, sequence, _ in rows:
+        held[sequence] = held.get(sequence, 0) + length
+    places = sum(limits.tokens if x & (x - 1) else x for x in held.values())
+    assert sum(held.values()) == 20_000 // n * n and places < 1.01 * sum(held.values())
+
+
+def test_the_query_has_no_limit_of_segments(spark, plain, tmp_path):
+    from transitlake.llm.queries import op3_packing
+
+    spark.createDataFrame([(i, "a b") for i in range(5000)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    padding, n = check_packing(op3_packing(spark, str(tmp_path)).collect(), {i: [*plain("a b"), 1] for i in range(5000)}, P.Limits())
+    assert padding == 0 and n <= 15_000 // 2048 + 11
+
+
 def test_edge_cases_of_packing(docs, empty):
     assert P.pack_documents(empty).collect() == []
     rows = P.pack_documents(docs.coalesce(1)).collect()

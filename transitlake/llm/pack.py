@@ -27,10 +27,10 @@ LOCAL_BITS = 40
 
 @dataclass(frozen=True)
 class Limits:
-    """What one sequence holds at most."""
+    """What one sequence holds at most; by default its tokens alone bind."""
 
     tokens: int = 2048
-    segments: int = 64
+    segments: int = 2048
     loss_tokens: int = 2048
 
 

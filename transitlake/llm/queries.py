@@ -23,7 +23,7 @@ def op2_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack.pack_documents(_table(spark, sf_dir, "documents"), pack.Limits(2048, 64, 2048), end_id=1)
+    return pack.pack_documents(_table(spark, sf_dir, "documents"), pack.Limits(2048, 2048, 2048), end_id=1)
 
 
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
