@@ -1,9 +1,14 @@
-"""Words of many texts at once, and hashes of runs of them, by array operations on their bytes."""
+"""Words of many texts at once, hashes and digests of runs of them, by array operations on their bytes.
+
+The hashes are quick and nominate: equal runs have equal hashes, but who knows the bases can make other runs that collide.
+What is to count as equal is held against a digest of the words themselves, 128 bits of BLAKE2b.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -12,14 +17,16 @@ import pyarrow as pa
 CHUNK = 1 << 20
 
 U = np.uint64
+#: Stands for a separator among classed bytes; no UTF-8 text has such a byte.
+SEPARATOR = 0xFF
 
 
 def _byte_class(separators: bytes, lower: bool) -> np.ndarray:
-    """256 byte values: 0 for a separator, else the byte, A-Z in lower case if asked."""
+    """256 byte values: ``SEPARATOR`` for a separator, else the byte, A-Z in lower case if asked."""
     table = np.arange(256, dtype=np.uint8)
     if lower:
         table[65:91] += 32
-    table[list(separators)] = 0
+    table[list(separators)] = SEPARATOR
     return table
 
 
@@ -100,7 +107,7 @@ def words_of(classed: np.ndarray, offsets: np.ndarray) -> Words:
     if not len(classed):
         empty = np.zeros(0, np.int64)
         return Words(np.zeros(len(offsets), np.int64), empty, empty)
-    inside = classed != 0
+    inside = classed != SEPARATOR
     before = np.concatenate([[False], inside[:-1]])
     cuts = offsets[1:-1]
     before[cuts[cuts < len(classed)]] = False
@@ -110,6 +117,28 @@ def words_of(classed: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(np.searchsorted(start, offsets), start, np.flatnonzero(inside & ~after) + 1)
 
 
+@dataclass
+class Joined:
+    """Words of consecutive texts with one space between those of a text: word k is ``data[start[k]:end[k]]``."""
+
+    data: bytes
+    start: np.ndarray
+    end: np.ndarray
+
+    def digests(self, first: np.ndarray, n: int) -> np.ndarray:
+        """128 bits, as two columns, of each run of n words from the ones numbered ``first``."""
+        data, runs = self.data, zip(self.start[first].tolist(), self.end[first + (n - 1)].tolist(), strict=True)
+        return np.frombuffer(b"".join([blake2b(data[a:b], digest_size=16).digest() for a, b in runs]), U).reshape(-1, 2)
+
+
+def joined(classed: np.ndarray, words: Words) -> Joined:
+    inside = classed != SEPARATOR
+    kept = inside.copy()
+    kept[1:] |= inside[:-1]
+    start = (np.cumsum(kept, dtype=np.int64) - 1)[words.start] if len(words.start) else words.start
+    return Joined(np.where(inside, classed, 0x20).astype(np.uint8)[kept].tobytes(), start.astype(np.uint32), (start + (words.end - words.start)).astype(np.uint32))
+
+
 def string_array(column: pa.Array) -> pa.Array:
     """Null as the empty string."""
     return column.fill_null("")

@@ -5,8 +5,9 @@
    the cells, and each batch gets back one bit per cell that it hit: whether the merged count is two or more. A window whose
    least count is one occurs once, for certain.
 2. A second pass looks only at windows estimated repeated. A window met twice within a batch of texts is repeated; the batch
-   settles that itself and sends one witness. All others go, by a 96-bit hash, into an exact grouping. No group gets more
-   entries than there are batches, however common its window. What a batch sends to a shard of the hashes is one row of
+   settles that itself and sends one witness. All others go into an exact grouping. Here and there a window is named by 128
+   bits of BLAKE2b over its words, not by the sketch's hash, so that windows count as equal only if their words are. No group
+   gets more entries than there are batches, however common its window. What a batch sends to a shard of the hashes is one row of
    plain arrays, with the keys of the documents concerned, so that a row stands for itself whatever task is run again.
 3. The places of repeated windows return by batch to their documents, which drop the covered words.
 
@@ -25,7 +26,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import SPACED, Hasher, U, chunks, string_array, words_of
+from .bytewords import SPACED, Hasher, Joined, U, chunks, joined, string_array, words_of
 from .shared import row_key, shared_dir
 from .tokens import file_system
 
@@ -91,30 +92,42 @@ def choose_shape(text_bytes: int, partitions: int, depth: int = DEPTH, cells: in
 
 @dataclass
 class Batch:
-    """Windows of consecutive texts: their hashes, which text each is of (numbered from 0), where it starts; keys of the texts."""
+    """Windows of consecutive texts: their hashes, which text each is of (numbered from 0), where it starts; keys of the texts.
+
+    ``parts`` has, for as many windows in turn, the words they are of and which word each begins with.
+    """
 
     number: int
-    hashes: list[np.ndarray]
+    hashes: np.ndarray
     doc: np.ndarray
     place: np.ndarray
     k1: np.ndarray
     k2: np.ndarray
+    parts: list[tuple[Joined, np.ndarray]]
 
     @property
     def digest(self) -> int:
         """Tells batches of other windows, or as many in another order of texts, apart."""
-        return int((self.hashes[0] * (self.doc.astype(U) + U(1))).sum().view(np.int64)) if len(self.doc) else 0
+        return int((self.hashes * (self.doc.astype(U) + U(1))).sum().view(np.int64)) if len(self.doc) else 0
+
+    def digests(self, which: np.ndarray, window: int) -> np.ndarray:
+        """The digests of some windows, by a mask over all, of their words."""
+        out, at = [np.zeros((0, 2), U)], 0
+        for words, first in self.parts:
+            out.append(words.digests(first[which[at : at + len(first)]], window))
+            at += len(first)
+        return np.concatenate(out)
 
 
-def _batches(rows: Iterator[pa.RecordBatch], window: int, salts: list[int]) -> Iterator[Batch]:
-    """The texts of a task in batches, cut alike in either pass."""
-    hashers = [Hasher(x) for x in salts]
+def _batches(rows: Iterator[pa.RecordBatch], window: int, with_words: bool) -> Iterator[Batch]:
+    """The texts of a task in batches, cut alike in either pass; the words themselves only if asked."""
+    hasher = Hasher(7)
     held: list[tuple] = []
+    parts: list[tuple[Joined, np.ndarray]] = []
     docs = words = number = 0
 
     def whole() -> Batch:
-        *hashes, doc, place, k1, k2 = (np.concatenate(x) for x in zip(*held, strict=True))
-        return Batch(number, hashes, doc, place, k1, k2)
+        return Batch(number, *(np.concatenate(x) for x in zip(*held, strict=True)), parts)
 
     for batch in rows:
         keys = [batch.column(n).to_numpy() for n in ("_k1", "_k2")]
@@ -128,13 +141,15 @@ def _batches(rows: Iterator[pa.RecordBatch], window: int, salts: list[int]) -> I
             doc = np.repeat(some, lengths)
             place = np.arange(total) - np.repeat(np.cumsum(lengths) - lengths, lengths)
             starts = found.first[doc] + place
-            hashes = [h.runs(h.words(classed, found), window)[starts] if total else np.zeros(0, U) for h in hashers]
-            held.append((hashes[0], *((h >> U(32)).astype(np.uint32) for h in hashes[1:]), (doc + docs).astype(np.uint32), place.astype(np.uint32), *(k[at:to] for k in keys)))
+            hashes = hasher.runs(hasher.words(classed, found), window)[starts] if total else np.zeros(0, U)
+            held.append((hashes, (doc + docs).astype(np.uint32), place.astype(np.uint32), *(k[at:to] for k in keys)))
+            if with_words and total:
+                parts.append((joined(classed, found), starts.astype(np.uint32)))
             docs += to - at
             words += int(found.first[-1])
             if words >= BATCH_WORDS:
                 yield whole()
-                held, docs, words, number = [], 0, 0, number + 1
+                held, parts, docs, words, number = [], [], 0, 0, number + 1
     if held:
         yield whole()
 
@@ -152,10 +167,10 @@ def sketch(docs: DataFrame, shape: Shape, window: int = WINDOW) -> DataFrame:
 
     def send(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        for batch in _batches(rows, window, [7]):
+        for batch in _batches(rows, window, False):
             shards, blobs = [], []
             for row in range(shape.depth):
-                cells = np.sort(shape.cells(batch.hashes[0], row))
+                cells = np.sort(shape.cells(batch.hashes, row))
                 cells = cells[np.concatenate([[True, True], cells[2:] != cells[:-2]])[: len(cells)]]  # at most twice
                 cuts = np.searchsorted(cells, shape.starts())
                 for shard in np.flatnonzero(np.diff(cuts)).tolist():
@@ -211,7 +226,7 @@ def _estimated(batch: Batch, shape: Shape, answers: dict) -> np.ndarray:
     """Which windows of a batch may be repeated."""
     maybe, digest = np.ones(len(batch.doc), bool), batch.digest
     for row in range(shape.depth):
-        cells, back = np.unique(shape.cells(batch.hashes[0], row), return_inverse=True)
+        cells, back = np.unique(shape.cells(batch.hashes, row), return_inverse=True)
         cuts = np.searchsorted(cells, shape.starts())
         bits = np.ones(len(cells), bool)
         for shard in np.flatnonzero(np.diff(cuts)).tolist():
@@ -239,9 +254,9 @@ def _unpack(blob: bytes, kinds: list) -> list[np.ndarray]:
     return out
 
 
-#: Keys of documents, which of them each entry is of, where it starts; for pending ones their hashes, and those of witnesses.
+#: Keys of documents, which of them each entry is of, where it starts; for pending ones their digests, and those of witnesses.
 _PLACES = [np.int64, np.int64, np.uint32, np.uint32]
-_PENDING = [*_PLACES, np.uint64, np.uint32, np.uint64, np.uint32]
+_PENDING = [*_PLACES, *[np.uint64] * 4]
 
 
 def _places(k1: np.ndarray, k2: np.ndarray, doc: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
@@ -251,7 +266,7 @@ def _places(k1: np.ndarray, k2: np.ndarray, doc: np.ndarray, place: np.ndarray)
 
 
 def _same(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order by hash, and in it how often each entry's hash occurs."""
+    """The order by digest, and in it how often each entry's digest occurs."""
     order = np.lexsort((two, one))
     a, b = one[order], two[order]
     new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
@@ -263,8 +278,8 @@ def _look(docs: DataFrame, folder: str, shape: Shape, window: int) -> DataFrame:
     """(shard, batch, settled, blob): what each batch of texts has settled, and what it asks of the shards."""
     from pyspark import TaskContext
 
-    def asked(b: Batch, task: int) -> pa.RecordBatch:
-        one, two, doc, place, rows, batch = *b.hashes, b.doc, b.place, [], task << 32 | b.number
+    def asked(b: Batch, maybe: np.ndarray, task: int) -> pa.RecordBatch:
+        (one, two), doc, place, rows, batch = b.digests(maybe, window).T, b.doc[maybe], b.place[maybe], [], task << 32 | b.number
         order, times = _same(one, two)
         one, two, doc, place = one[order], two[order], doc[order], place[order]
         first = np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
@@ -286,19 +301,18 @@ def _look(docs: DataFrame, folder: str, shape: Shape, window: int) -> DataFrame:
 
     def look(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, answers = TaskContext.get().partitionId(), None
-        for batch in _batches(rows, window, [7, 9]):
+        for batch in _batches(rows, window, True):
             if answers is None:
                 answers = _answers(folder, task)
             maybe = _estimated(batch, shape, answers)
             if maybe.any():
-                batch.hashes, batch.doc, batch.place = [h[maybe] for h in batch.hashes], batch.doc[maybe], batch.place[maybe]
-                yield asked(batch, task)
+                yield asked(batch, maybe, task)
 
     return _keyed(docs).mapInArrow(look, "shard int, batch long, settled boolean, blob binary")
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From the rows of whole shards, one after another: (batch, blob) with the places of repeated windows."""
+    """From the rows of whole shards, one after another: (batch, blob) with the places of repeated windows, by their digests."""
     shard, held = None, []
 
     def answered() -> Iterator[pa.RecordBatch]:
@@ -381,7 +395,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, shape: Shape | None =
 
     Words are runs of characters other than ASCII white space. A window of ``window`` words counts as repeated if it starts
     anywhere else too, in this text or another; all are judged on the input. A null text has no words; one of fewer than
-    ``window`` words keeps them all. Rows that repeat are copies of one another. Other columns are ignored.
+    ``window`` words keeps them all. Rows that repeat are copies of one another. Other columns are ignored. Windows are equal
+    if 128 bits of BLAKE2b over their words are.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     docs = docs.select("doc_id", "text", *row_key(F.col("doc_id"), F.col("text")))
