@@ -59,8 +59,9 @@ def families(prose):
 
 
 @pytest.mark.parametrize(("shingle_limit", "node_limit", "dense"), [(1_000_000, 1024, 24), (2_000, 10, 3)])
-@pytest.mark.parametrize("fetch", [500_000, 0])
-def test_equals_brute_force(spark, families, monkeypatch, shingle_limit, node_limit, dense, fetch):
+@pytest.mark.parametrize(("fetch", "whole"), [(500_000, 8192), (0, 8192), (500_000, 4), (500_000, 0)])
+def test_equals_brute_force(spark, families, monkeypatch, shingle_limit, node_limit, dense, fetch, whole):
+    monkeypatch.setattr(J, "WHOLE_NODES", whole)
     monkeypatch.setattr(J, "BLOCK_SHINGLES", shingle_limit)
     monkeypatch.setattr(J, "BLOCK_NODES", node_limit)
     monkeypatch.setattr(J, "PART_NODES", node_limit // 2)
@@ -98,6 +99,35 @@ def test_bands_that_cannot():
         J.choose_bands(0.1, 0.9999, 20)
 
 
+def test_shingles_that_hash_alike_are_told_apart(spark):
+    from .test_substrings import thue_morse
+
+    one, two = thue_morse(2048)
+    rest = " ".join(f"w{i}" for i in range(34))
+    rows = [(1, f"{one} {rest}"), (2, f"{two} {rest}"), (3, f"{one} {rest}"), (4, one), (5, two), (6, one.upper())]
+    (a, _), (b, _) = J.shingle_sets(J.pa.array([one, two]), 5)
+    assert (a == b).all()
+    got = J.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "class_id", "n_links").collect()
+    assert sorted([tuple(r) for r in got], key=repr) == brute(rows)
+
+
+def test_chance_components_are_taken_apart(spark, monkeypatch, prose):
+    # texts that share a half with the next one: strung together by bands of one row, never linked
+    monkeypatch.setattr(J, "WHOLE_NODES", 3)
+    rows = [(i, prose(i, 40, 5000) + " " + prose(i + 1, 40, 5000)) for i in range(60)] + [(100 + i, prose(i, 40, 5000) + " " + prose(i + 1, 40, 5000) + " end") for i in range(0, 60, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = J.jaccard_classes(df, recall=0.9999999999, hashes=20).select("doc_id", "class_id", "n_links").collect()
+    assert sorted([tuple(r) for r in got], key=repr) == brute(rows)
+
+
+@pytest.mark.parametrize("band", range(-1, 4))
+def test_a_pair_meets_in_its_first_band(band):
+    r = np.random.default_rng(3)
+    bands = r.integers(0, 3, (40, 4))
+    want = np.array([[next((k for k in range(4) if a[k] == b[k]), None) for b in bands] for a in bands], object)
+    assert (J._met(bands, band) == (want != None if band < 0 else want == band)).all()  # noqa: E711
+
+
 def test_minhash_agrees_with_jaccard():
     r = np.random.default_rng(1)
     base = r.integers(0, 2**63, 300).astype(np.uint64)
