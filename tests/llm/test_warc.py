@@ -4,7 +4,12 @@ import hashlib
 import json
 import zlib
 
+from html.parser import HTMLParser
+from time import process_time
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from transitlake.llm import warc as W
 
@@ -65,8 +70,12 @@ def test_query_and_edge_cases(spark):
     assert W.build(W.responses(df.limit(0))).collect() == []
     both = spark.createDataFrame([(1, W.response("u", "<p>a", "1") + W.record([("WARC-Type", "request")], b"x")), (2, None), (3, b"")], "page_id long, warc binary")
     assert W.build(both).count() == 2
-    with pytest.raises(Exception, match="no record at byte 0"):
-        W.build(spark.createDataFrame([(1, b"junk")], "page_id long, warc binary")).collect()
+    good = W.response("u", "<p>a", "1")
+    no_id, no_length = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 2\r\n\r\nab\r\n\r\n", b"WARC/1.1\r\nWARC-Type: response\r\n\r\nab\r\n\r\n"
+    broken = spark.createDataFrame([(1, b"junk"), (2, b"junk\r\n" + good), (3, good[:-8]), (4, no_id + good), (5, no_length + good), (6, gzip.compress(good) + gzip.compress(good)[:-9]), (7, gzip.compress(good) + b"x")], "page_id long, warc binary")
+    got = W.build(broken).collect()
+    assert {i: sorted(r.warc_type for r in got if r.page_id == i) for i in range(1, 8)} == {1: ["error"], 3: ["error"], **{i: ["conversion", "error", "metadata"] for i in (2, 4, 5, 7)}, 6: ["conversion"] * 2 + ["metadata"] * 2}
+    assert {r.block for r in got if r.warc_type == "error"} == {"no record at byte 0", "the record at byte 0 is cut short", "a response without WARC-Record-ID", "the record at byte 0 has no length"}
 
 
 @pytest.mark.parametrize(("page", "text"), [
@@ -78,9 +87,90 @@ def test_prose_is_kept(page, text):
     assert W.plain_text(page) == text
 
 
-def test_many_open_sections_take_linear_time():
-    for unit in ("<svg>", "<svg/>", "<nav>", "<object/"):
-        W.plain_text(unit * 20_000)
+UNITS = ["<svg>", "<svg/>", "<nav>", "<object/", "<a ", "<a href=", "<a href='", "<a href=x>", "<form><a href=x>", "<script", "<script>", "</script ", "<!--", "<title", "<title>", "<html lang=", "<p ", "</", "< ", "<", "<nav></nav>", "&amp", "<textarea></textarea >"]
+
+
+@pytest.mark.parametrize("unit", UNITS)
+def test_hostile_pages_take_linear_time(unit):
+    block = b"HTTP/1.1 200 OK\r\n\r\n" + (unit * (2_000_000 // len(unit))).encode()
+    began = process_time()
+    W.derivatives({"warc-record-id": "r"}, block)
+    assert process_time() - began < 30
+
+
+class Plain(HTMLParser):
+    """The visible lines and the links of a well-formed page, by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.depth, self.text, self.links = 0, [], []
+
+    def handle_starttag(self, tag, attrs):
+        self.links += [v for k, v in attrs if tag == "a" and k == "href"]
+        if tag in W._SILENT:
+            self.text.append(" " if tag in ("svg", "script", "style") else "\n")
+            self.depth += 1
+        elif tag in W._BLOCKS and not self.depth:
+            self.text.append("\n")
+
+    def handle_endtag(self, tag):
+        if tag in W._SILENT:
+            self.depth -= 1
+        elif tag in W._BLOCKS and not self.depth:
+            self.text.append("\n")
+
+    def handle_data(self, data):
+        if not self.depth:
+            self.text.append(data)
+
+
+def element(children):
+    names = st.sampled_from(["p", "div", "b", "i", "span", "ul", "li", "h1", "form", "section", "a href='/é?x=1&amp;y=2'", 'a class="k" href="/z"', "table", "td"])
+    return st.builds(lambda n, kids: f"<{n}>{''.join(kids)}</{n.split()[0]}>", names, st.lists(children, max_size=4))
+
+
+LEAF = st.sampled_from(["word ", "é &amp; ß", " \n ", "&lt;p&gt;", "<br>", "<hr/>", "<!-- a <b> comment -->", "<script>if (a < b) '</p>'</script>", "<style>p{}</style>", "<nav>menu <b>x</b></nav>", "<footer>foot</footer>", "<svg><text>no</text></svg>", "<img src='x'>", "漢字", "1 &#62; 2"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.recursive(LEAF, element, max_leaves=12), max_size=5).map("".join))
+def test_equals_a_parser(page):
+    parser = Plain()
+    parser.feed(page)
+    parser.close()
+    lines = [" ".join(x.split()) for x in "".join(parser.text).split("\n")]
+    assert W.plain_text(page) == "\n".join(x for x in lines if x)
+    assert W.page_facts(page, W.tags(page))[2] == list(dict.fromkeys(parser.links))
+
+
+@pytest.mark.parametrize(("page", "text"), [("<script>var a = '<!--';</script><p>x", "x"), ("<nav-item>x</nav-item>", "x"), ("<a href='/x?a>b'>y</a>", "b'>y"), ("a<p", "a"), ("<title>t", "t")])
+def test_odd_pages(page, text):
+    assert W.plain_text(page) == text
+
+
+def test_links_keep_their_quoted_ends():
+    page = "<a href='/x?a>b'>y</a><a href=\"/open>z</a><a href=/plain>"
+    assert W.page_facts(page, W.tags(page))[2] == ["/x?a>b", "/open", "/plain"]
+
+
+def test_odd_codecs_do_not_fail():
+    for name in ("idna", "undefined", "punycode", "base64", "rot13", "utf-16", "unicode_escape"):
+        (_, _), (_, text) = W.derivatives({"warc-record-id": "r"}, f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset={name}\r\n\r\n<p>\\ud800 x\xff".encode("latin-1"))
+        text.decode()
+
+
+def test_files_round_trip(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"http://a/{i}", PAGE if i % 2 else None) for i in range(7)] + [(99, "u", "<p>é")], "page_id long, url string, html string").repartition(3)
+    derived = W.build(W.responses(pages))
+    wrote = W.write_files(derived, f"file://{tmp_path}/out").collect()
+    assert sum(r.n_records for r in wrote) == 16 and len(list((tmp_path / "out").iterdir())) == len(wrote)
+    found = [x for r in W.read_files(spark, str(tmp_path / "out")).collect() for part in W.members(bytes(r.warc)) for x in W.parse(part)]
+    assert sorted((h["warc-record-id"], b.decode()) for h, b in found) == sorted((r.record_id, r.block) for r in derived.collect())
+    # responses as files, a member each, one of them plain
+    for i, data in enumerate([W.response("u", "<p>a", "1"), W.response("v", "<p>b", "2")]):
+        (tmp_path / f"in{i}.warc{'.gz' * i}").write_bytes(gzip.compress(data) + gzip.compress(W.response("w", "<p>c", "3")) if i else data)
+    assert sorted(r.block for r in W.build(W.read_files(spark, str(tmp_path), "in*")).where("warc_type = 'conversion'").collect()) == ["a", "b", "c"]
+    assert W.write_files(derived.limit(0), f"file://{tmp_path}/none").collect() == []
 
 
 def chunked(data, n=7):

@@ -172,7 +172,7 @@ def file_system(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path) if re.match(r"[a-z0-9]+:/", path) else (pafs.LocalFileSystem(), os.path.abspath(path))
 
 
-def _put(fs: pafs.FileSystem, path: str, parts: Iterator[bytes]) -> None:
+def put(fs: pafs.FileSystem, path: str, parts: Iterator[bytes]) -> None:
     """Written under a name of this attempt's own, then moved: a retried task leaves whole files only."""
     temporary = f"{path}.{uuid.uuid4().hex}"
     try:
@@ -216,7 +216,7 @@ def write_tokens(docs: DataFrame, folder: str, end_id: int = 2, tokenizer: str |
                 yield b"".join(blobs)
 
         name = f"{base}/part-{part:05d}"
-        _put(fs, f"{name}.bin", encoded())
+        put(fs, f"{name}.bin", encoded())
         if not names:
             fs.delete_file(f"{name}.bin")
             return
@@ -225,8 +225,8 @@ def write_tokens(docs: DataFrame, folder: str, end_id: int = 2, tokenizer: str |
         sink = pa.BufferOutputStream()
         with pa.ipc.new_file(sink, table.schema) as out:
             out.write_table(table)
-        _put(fs, f"{name}.doc", iter([sink.getvalue()]))
-        _put(fs, f"{name}.len", iter([lengths.astype("<u8").tobytes()]))
+        put(fs, f"{name}.doc", iter([sink.getvalue()]))
+        put(fs, f"{name}.len", iter([lengths.astype("<u8").tobytes()]))
         yield pa.RecordBatch.from_pydict({"part": [part], "n_docs": [len(lengths)], "n_ids": [int(lengths.sum())], "width": [encoder.width.itemsize]})
 
     parts = staged(ordered.mapInArrow(write, "part long, n_docs long, n_ids long, width long"), folder, "parts")
@@ -244,7 +244,7 @@ def write_tokens(docs: DataFrame, folder: str, end_id: int = 2, tokenizer: str |
                 name = f"{where}/part-{r['part']:05d}"
                 with fs.open_input_stream(f"{name}.len") as f:
                     lengths = np.frombuffer(f.read(), "<u8")
-                _put(fs, f"{name}.idx", iter([(np.concatenate([[0], np.cumsum(lengths)]) + r["base"]).astype("<u8").tobytes()]))
+                put(fs, f"{name}.idx", iter([(np.concatenate([[0], np.cumsum(lengths)]) + r["base"]).astype("<u8").tobytes()]))
             yield batch
 
     if not rows:
