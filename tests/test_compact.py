@@ -1,4 +1,5 @@
 import json
+import time
 
 import pandas as pd
 import pyarrow as pa
@@ -6,6 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from transitlake.operators import compact as C
+from transitlake.plans.lake import wait_until
 from transitlake.sources.storage import create_storage
 
 HOUR = "p/S/2024-01-01/00-00-00_to_00-15-00.parquet"
@@ -152,6 +154,60 @@ def test_a_lock_keeps_others_out(lake):
     assert len(lake.compact()) == 1
 
 
+def test_a_lost_lock_stops_the_run(lake, monkeypatch):
+    lake.put("2024-01-01_00-00-00")
+    lake.put("2024-01-01_00-20-00")
+    judged = C.judged
+
+    def taken(*args):  # while files are judged, another run takes the lock for its own
+        lake.store.save_bytes(b"other", "p/S/_lock")
+        return judged(*args)
+
+    monkeypatch.setattr(C, "judged", taken)
+    with pytest.raises(RuntimeError, match="another run"):
+        lake.compact()
+    assert len(lake.names("individual")) == 2 and lake.store.read_bytes("p/S/_lock") == b"other"
+
+
+def test_a_lock_is_renewed_and_an_old_one_taken(lake, monkeypatch):
+    monkeypatch.setattr(C, "LOCK_SECONDS", 2)
+    with C.lock(lake.store, "p/S") as mine:
+        first = lake.store.fs.getFileStatus(lake.store._at("p/S/_lock")).getModificationTime()
+        assert wait_until(lambda: lake.store.fs.getFileStatus(lake.store._at("p/S/_lock")).getModificationTime() > first, 10) and mine.held()
+    lake.store.save_bytes(b"of one that died", "p/S/_lock")
+    assert wait_until(lambda: lake.store.age_seconds("p/S/_lock") > 2.5, 10)
+    with C.lock(lake.store, "p/S") as mine:
+        assert mine
+
+
+@pytest.mark.parametrize("machine", ["Europe/Amsterdam", "America/New_York", "UTC"])
+def test_the_machines_time_zone_does_not_matter(lake, monkeypatch, machine):
+    monkeypatch.setenv("TZ", machine)
+    time.tzset()
+    try:
+        for m in range(60):
+            lake.put(f"2023-01-01_12-{m:02d}-00", rows=1)
+        for stamp in ("2023-01-01_00-10-00", "2023-10-29_02-10-00", "2023-10-29_03-10-00", "2023-11-01_00-00-00"):
+            lake.put(stamp, rows=1)
+        done = lake.compact(zone="Europe/Amsterdam")
+        want = {("2023-01-01", 0): 1, **{("2023-01-01", 48 + k): 15 for k in range(4)}, ("2023-10-29", 8): 1, ("2023-10-29", 12): 1}
+        label = lambda k: f"{k // 4:02d}-{k % 4 * 15:02d}-00"
+        assert {c.output: c.n_files for c in done} == {f"p/S/{d}/{label(k)}_to_{label(k + 1)}.parquet": n for (d, k), n in want.items()}
+        assert lake.names("2023-01-01") == sorted(c.output for c in done if "/2023-01-01/" in c.output)
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
+def test_footers_are_read_by_range_or_whole(lake, spark):
+    lake.put("2024-01-01_00-00-00")
+    lake.put("2024-01-01_00-01-00", raw=b"junk")
+    uris = [lake.store.uri(f"p/S/individual/2024-01-01_00-0{m}-00.parquet") for m in (0, 1, 2)]
+    ranged = sorted((r.path, r.readable, r.n_rows, r.footer) for r in C.footers(spark, uris, lake.store.root.arrow).collect())
+    whole = sorted((r.path.replace("file:/", "file:///"), r.readable, r.n_rows, r.footer) for r in C.footers(spark, uris[:2]).collect())
+    assert ranged[:2] == whole and [r[1:3] for r in ranged] == [(True, 2), (False, 0), (False, 0)]
+
+
 def test_names_and_options(lake):
     lake.put("2024-01-01_00-00-00")
     lake.put("2024-01-01_00-20-00")

@@ -125,6 +125,22 @@ def test_http_source(spark, server):
     assert feed.http_snapshots(spark, [("p", f"{server}/feed")], fetch_time=AT.timestamp()).select(F.unix_seconds("fetch_time")).first()[0] == int(AT.timestamp())
 
 
+def test_a_bad_url_does_not_sink_the_batch(spark, server):
+    rows = feed.http_snapshots(spark, [("p", f"{server}/feed"), ("q", f"{server}/none"), ("r", "http://127.0.0.1:1/x"), ("s", "no url")], fetch_time=AT.timestamp())
+    got = {r.provider: (r.content is not None, r.error) for r in rows.collect()}
+    assert got["p"] == (True, None) and [got[k][0] for k in "qrs"] == [False] * 3 and "404" in got["q"][1] and got["r"][1] and got["s"][1]
+    assert feed.decode(rows, ["Shape"]).count() == 1
+
+
+def test_nothing_stays_cached(spark, server, tmp_path):
+    held = lambda: spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    before = held()
+    lake = Lake(LakeConfig(StorageConfig("filesystem", {"base_directory": str(tmp_path)}), (ProviderConfig("p", (ApiConfig(f"{server}/feed", ("Alert",)),)),)), spark)
+    assert len(lake.fetch_once("p", f"{server}/feed", ["Alert", "Shape", "Stop"])) == 3
+    assert lake.fetch_once("p", f"{server}/none", ["Alert"]) == lake.fetch_once("p", f"{server}/junk", ["Alert"]) == []
+    assert fetch_and_parse(spark, f"{server}/feed", ["Alert"])["Alert"].count() == 1 and held() == before
+
+
 def test_file_source(spark, tmp_path):
     (tmp_path / "a.pb").write_bytes(sample())
     (tmp_path / "b.txt").write_bytes(b"no")

@@ -1,3 +1,6 @@
+import threading
+from http.server import BaseHTTPRequestHandler, HTTPServer
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -46,6 +49,50 @@ def test_roots():
         S.resolve_root("gcs", bucket_name="b", colour="red")
 
 
+class Buckets(BaseHTTPRequestHandler):
+    """As much of an object store as making a bucket takes."""
+
+    made: list[str] = []
+
+    def do_HEAD(self):
+        self.send_response(200 if self.path.strip("/") in self.made else 404)
+        self.end_headers()
+
+    def do_GET(self):
+        body = b"<ListBucketResult><KeyCount>0</KeyCount></ListBucketResult>"
+        self.send_response(200)
+        self.send_header("Content-Length", str(len(body)))
+        self.end_headers()
+        self.wfile.write(body)
+
+    def do_PUT(self):
+        self.made.append(self.path.strip("/"))
+        self.send_response(200)
+        self.send_header("Content-Length", "0")
+        self.end_headers()
+
+    def log_message(self, *_):
+        pass
+
+
+def test_a_missing_bucket_is_made():
+    server = HTTPServer(("127.0.0.1", 0), Buckets)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    root = S.resolve_root("minio", endpoint=f"http://127.0.0.1:{server.server_port}", access_key="a", secret_key="s", bucket_name="feeds", secure=False)
+    assert S.make_bucket(root) and Buckets.made == ["feeds"] and not S.make_bucket(root) and Buckets.made == ["feeds"]
+    assert not S.make_bucket(S.resolve_root("filesystem", base_directory="/tmp")) and S.arrow_path(f"{root.uri}/a/b c") == "feeds/a/b c" and S.arrow_path("file:///x/y") == "/x/y"
+    server.shutdown()
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Session:
+        conf = {}
+        sparkContext = type("Context", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        S.shared_root(Session)
+
+
 def test_registered_types(spark, tmp_path):
     S.register_storage_type("Scratch", lambda where: S.Root(f"file://{where}"))
     try:

@@ -74,6 +74,11 @@ def bucket_end(start: Column, minutes: int) -> Column:
     return start.cast("timestamp") + F.expr(f"INTERVAL {int(minutes)} MINUTES")
 
 
+def wall_clock(local: Column) -> Column:
+    """A local time as a string that ``datetime.fromisoformat`` reads: no time zone, the session's or the machine's, can move it."""
+    return F.date_format(local.cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
+
+
 def output_path(provider: str, service: str, group_time: datetime, minutes: int, filename_format: str = "{group_time}_to_{next_period}.parquet", time_format: str = "%H-%M-%S") -> str:
     """Where a bucket's rows go, below the storage root."""
     label = filename_format.format(group_time=group_time.strftime(time_format), next_period=(group_time + timedelta(minutes=minutes)).strftime(time_format))

@@ -10,10 +10,13 @@ from __future__ import annotations
 import io
 import json
 import logging
+import threading
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import datetime
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -22,11 +25,13 @@ from pyspark.sql import types as T
 
 from ..functions import timebucket as tb
 from ..sources.sinks import parquet_options
-from ..sources.storage import Storage
+from ..sources.storage import Storage, arrow_files, arrow_path
 
 logger = logging.getLogger(__name__)
-#: A lock older than this was left by a run that died.
-LOCK_SECONDS = 6 * 3600
+#: A lock older than this was left by a run that died; one that lives renews its lock four times in that time.
+LOCK_SECONDS = 1800
+#: Calls of the store that are under way at a time, and files whose footers a task reads.
+CALLS, FOOTERS = 16, 64
 
 
 @dataclass(frozen=True)
@@ -55,35 +60,45 @@ def _readable(schema: pa.Schema) -> pa.Schema:
     return pa.schema([pa.field(f.name, kind(f.type)) for f in schema])
 
 
-def footers(spark: SparkSession, uris: list[str]) -> DataFrame:
+def _opened(spark: SparkSession, uris: list[str], arrow: tuple[str, dict] | None) -> DataFrame:
+    """(path, content): files to be read on the executors. Content is null where Arrow can open the path itself and read what it needs of it."""
+    if arrow_files(arrow) is None:
+        return spark.read.format("binaryFile").load(uris).select("path", "content")
+    paths = spark.createDataFrame([(u,) for u in uris], "path string").repartition(-(-len(uris) // FOOTERS))
+    return paths.withColumn("content", F.lit(None).cast("binary"))
+
+
+def footers(spark: SparkSession, uris: list[str], arrow: tuple[str, dict] | None = None) -> DataFrame:
     """(path, readable, n_rows, footer, arrow): each file's row count and schema, without metadata, read on the executors.
 
-    ``arrow`` is null where Spark can read the file itself; else, for nanoseconds and Brotli, it is the schema to read it with.
+    Where Arrow knows the store only the files' ends are read, else whole files through Spark. ``arrow`` is null where Spark
+    can read the file itself; else, for nanoseconds and Brotli, it is the schema to read it with.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.parquet as pq
 
+        fs = arrow_files(arrow)
         for batch in batches:
             rows = []
-            for content in batch.column("content").to_pylist():
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
                 try:
-                    f = pq.ParquetFile(io.BytesIO(content))
-                    meta, schema = f.metadata, f.schema_arrow.remove_metadata()
-                    footer = schema.to_string(show_field_metadata=False)
-                    odd = "[ns" in footer or any(meta.row_group(g).column(c).compression == "BROTLI" for g in range(meta.num_row_groups) for c in range(meta.num_columns))
-                    rows.append((True, meta.num_rows, footer, _readable(schema).serialize().to_pybytes() if odd else None))
+                    with fs.open_input_file(arrow_path(path)) if content is None else io.BytesIO(content) as source:
+                        f = pq.ParquetFile(source)
+                        meta, schema = f.metadata, f.schema_arrow.remove_metadata()
+                        footer = schema.to_string(show_field_metadata=False)
+                        odd = "[ns" in footer or any(meta.row_group(g).column(c).compression == "BROTLI" for g in range(meta.num_row_groups) for c in range(meta.num_columns))
+                        rows.append((True, meta.num_rows, footer, _readable(schema).serialize().to_pybytes() if odd else None))
                 except (pa.ArrowException, OSError):
                     rows.append((False, 0, "", None))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
             kinds = (pa.bool_(), pa.int64(), pa.string(), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("path"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], ["path", "readable", "n_rows", "footer", "arrow"])
 
-    files = spark.read.format("binaryFile").load(uris).select("path", "content")
-    return files.mapInArrow(run, "path string, readable boolean, n_rows long, footer string, arrow binary")
+    return _opened(spark, uris, arrow).mapInArrow(run, "path string, readable boolean, n_rows long, footer string, arrow binary")
 
 
-def read_foreign(spark: SparkSession, uris: list[str], arrow: bytes) -> DataFrame:
+def read_foreign(spark: SparkSession, uris: list[str], arrow: bytes, where: tuple[str, dict] | None = None) -> DataFrame:
     """Files that Spark's own reader does not take, read by Arrow on the executors, one at a time, with ``_key``."""
     from pyspark.sql.pandas.types import from_arrow_schema
 
@@ -93,16 +108,16 @@ def read_foreign(spark: SparkSession, uris: list[str], arrow: bytes) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.parquet as pq
 
-        wanted = pa.ipc.read_schema(pa.py_buffer(arrow))
+        wanted, fs = pa.ipc.read_schema(pa.py_buffer(arrow)), arrow_files(where)
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                for rows in pq.ParquetFile(io.BytesIO(content)).iter_batches():
-                    table = pa.Table.from_batches([rows]).select(wanted.names).cast(wanted, safe=False)
-                    named = table.add_column(0, "_path", pa.array([path] * rows.num_rows, pa.string()))
-                    yield from named.combine_chunks().to_batches()
+                with fs.open_input_file(arrow_path(path)) if content is None else io.BytesIO(content) as source:
+                    for rows in pq.ParquetFile(source).iter_batches():
+                        table = pa.Table.from_batches([rows]).select(wanted.names).cast(wanted, safe=False)
+                        named = table.add_column(0, "_path", pa.array([path] * rows.num_rows, pa.string()))
+                        yield from named.combine_chunks().to_batches()
 
-    files = spark.read.format("binaryFile").load(uris).select("path", "content")
-    return files.mapInArrow(run, kind).withColumn("_key", _key(F.col("_path"))).drop("_path")
+    return _opened(spark, uris, where).mapInArrow(run, kind).withColumn("_key", _key(F.col("_path"))).drop("_path")
 
 
 def judged(files: DataFrame, schema_mode: str = "strict") -> DataFrame:
@@ -162,19 +177,56 @@ def union_all(frames: list[DataFrame], promote: bool = False) -> DataFrame:
     return out
 
 
+class Lock:
+    """A lock on a directory, held by a file that names its owner and is written anew while the run lives."""
+
+    def __init__(self, storage: Storage, directory: str):
+        self.storage, self.path, self.owner = storage, f"{directory}/_lock", uuid.uuid4().hex.encode()
+        self._ended, self._busy = threading.Event(), threading.Lock()
+
+    def take(self) -> bool:
+        """Whether this run alone may work on the directory."""
+        mine = self.storage.create_once(self.path, self.owner)
+        if not mine and self.storage.age_seconds(self.path) > LOCK_SECONDS:
+            self.storage.delete_file(self.path)
+            mine = self.storage.create_once(self.path, self.owner)
+        if mine:
+            threading.Thread(target=self._keep, daemon=True).start()
+        return mine
+
+    def _keep(self) -> None:
+        while not self._ended.wait(LOCK_SECONDS / 4):
+            if not self.held():
+                return
+            with self._busy:
+                self.storage.rewrite(self.path, self.owner)
+
+    def held(self) -> bool:
+        """Whether the lock is still this run's own."""
+        with self._busy:
+            return self.storage.file_exists(self.path) and self.storage.read_bytes(self.path) == self.owner
+
+    def check(self) -> None:
+        """Raises if another run has taken the lock: nothing may be moved or deleted any more."""
+        if not self.held():
+            raise RuntimeError(f"{self.path} belongs to another run")
+
+    def release(self) -> None:
+        self._ended.set()
+        if self.held():
+            self.storage.delete_file(self.path)
+
+
 @contextmanager
-def lock(storage: Storage, directory: str) -> Iterator[bool]:
-    """Whether this run alone may work on a directory."""
-    path = f"{directory}/_lock"
-    mine = storage.create_once(path)
-    if not mine and storage.age_seconds(path) > LOCK_SECONDS:
-        storage.delete_file(path)
-        mine = storage.create_once(path)
+def lock(storage: Storage, directory: str) -> Iterator[Lock | None]:
+    """The directory's lock, or None if another run has it."""
+    own = Lock(storage, directory)
+    mine = own.take()
     try:
-        yield mine
+        yield own if mine else None
     finally:
         if mine:
-            storage.delete_file(path)
+            own.release()
 
 
 def _finish(storage: Storage, manifest: str) -> None:
@@ -190,11 +242,16 @@ def _finish(storage: Storage, manifest: str) -> None:
     storage.delete_file(manifest)
 
 
+def _each(call, items: list) -> list:
+    """``call`` of each item, some at a time: the store answers from afar."""
+    with ThreadPoolExecutor(CALLS) as pool:
+        return list(pool.map(call, items))
+
+
 def recover(storage: Storage, directory: str) -> int:
     """Finishes what an earlier run began; how many buckets that were."""
     manifests = storage.list_files(f"{directory}/_manifests", "*.json")
-    for manifest in manifests:
-        _finish(storage, manifest)
+    _each(lambda manifest: _finish(storage, manifest), manifests)
     return len(manifests)
 
 
@@ -214,39 +271,44 @@ def compact(
     if not storage.list_files(f"{directory}/individual", "*.parquet") and not storage.list_files(f"{directory}/_manifests", "*.json"):
         return []
     with lock(storage, directory) as mine:
-        if not mine:
+        if mine is None:
             logger.info("%s is being compacted elsewhere", directory)
             return []
         recover(storage, directory)
         paths = storage.list_files(f"{directory}/individual", "*.parquet")
         if not paths:
             return []
-        groups = closed_groups(spark.createDataFrame([(p,) for p in paths], "path string"), minutes, zone, force).collect()  # a listing, file by file
+        groups = closed_groups(spark.createDataFrame([(p,) for p in paths], "path string"), minutes, zone, force)
+        groups = groups.select("path", tb.wall_clock(F.col("group_time")).alias("g")).collect()  # a listing, file by file
         if not groups:
             return []
-        group_of = {r["path"]: r["group_time"] for r in groups}
-        outputs = {g: tb.output_path(provider, service, g, minutes, filename_format, time_format) for g in set(group_of.values())}
+        group_of = {r["path"]: r["g"] for r in groups}
+        starts = {g: datetime.fromisoformat(g) for g in sorted(set(group_of.values()))}
+        outputs = {g: tb.output_path(provider, service, t, minutes, filename_format, time_format) for g, t in starts.items()}
         if late == "merge":
             # an object that is there already goes in first, so that its schema holds
-            group_of |= {o: g for g, o in outputs.items() if storage.file_exists(o)}
+            there = _each(storage.file_exists, list(outputs.values()))
+            group_of |= {o: g for (g, o), found in zip(outputs.items(), there, strict=True) if found}
         order = {p: f"{int('/individual/' in p)}{p}" for p in group_of}
-        found = footers(spark, [storage.uri(p) for p in group_of])
-        known = spark.createDataFrame([(p, g, order[p], storage.key(p)) for p, g in group_of.items()], "file string, group_time timestamp, sort string, _key string")
+        found = footers(spark, [storage.uri(p) for p in group_of], storage.root.arrow)
+        known = spark.createDataFrame([(p, g, order[p], storage.key(p)) for p, g in group_of.items()], "file string, group_time string, sort string, _key string")
         both = known.join(found.withColumn("_key", _key(F.col("path"))).drop("path"), "_key", "left").drop("_key").withColumnRenamed("sort", "path")
         rows = judged(both.fillna({"readable": False, "n_rows": 0, "footer": ""}), schema_mode).collect()
         aside = f"{directory}/_staging/{uuid.uuid4().hex}"
         by_schema: dict[tuple[str, str, bool], list] = {}
+        by_group: dict[str, list] = {g: [] for g in starts}
         for r in rows:
+            by_group[r["group_time"]].append(r)
             if r["good"] and r["n_rows"]:
                 by_schema.setdefault((r["kind"] if schema_mode == "strict" else "", r["footer"], r["arrow"] is None), []).append(r)
-        number = {g: i for i, g in enumerate(sorted(outputs))}
+        number = {g: i for i, g in enumerate(starts)}
         by_kind: dict[str, list[DataFrame]] = {}
         for (kind, *_), files in by_schema.items():
             uris, foreign = [storage.uri(r["file"]) for r in files], files[0]["arrow"]
             if foreign is None:
                 read = _plain(spark.read.parquet(*uris).withColumn("_key", _key(F.col("_metadata.file_path"))))
             else:
-                read = read_foreign(spark, uris, bytes(foreign))
+                read = read_foreign(spark, uris, bytes(foreign), storage.root.arrow)
             place = spark.createDataFrame([(storage.key(r["file"], encoded=foreign is None), number[r["group_time"]], r["path"]) for r in files], "_key string, _group int, _sort string")
             by_kind.setdefault(kind, []).append(read.join(F.broadcast(place), "_key").drop("_key"))  # a row per file of a listing
         # files of a bucket are of one kind, unless kinds are promoted to one
@@ -257,23 +319,26 @@ def compact(
         staged = {}
         for path in storage.list_files(aside, "part-*.parquet", recursive=True):
             staged[int(path.split("_group=")[1].split("/")[0])] = path
-        done = []
-        for g, output in sorted(outputs.items()):
-            own = [r for r in rows if r["group_time"] == g]
+
+        def finish(g: str) -> Compacted | None:
+            own, output = by_group[g], outputs[g]
             bad = [r["file"] for r in own if not r["good"] and "/individual/" in r["file"]]
             spoilt = [r["file"] for r in own if not r["good"] and "/individual/" not in r["file"]]
             if spoilt:
                 # the bucket's object itself does not fit: nothing is replaced, and its late files wait
                 logger.error("%s cannot be merged into", spoilt[0])
-                continue
+                return None
             inputs = [r["file"] for r in own if r["good"] and "/individual/" in r["file"]]
             piece = staged.get(number[g])
-            manifest = f"{directory}/_manifests/{g:%Y-%m-%d_%H-%M-%S}.json"
+            manifest = f"{directory}/_manifests/{starts[g]:%Y-%m-%d_%H-%M-%S}.json"
+            mine.check()
             storage.save_bytes(json.dumps({"staged": piece, "output": output, "inputs": inputs, "quarantine": bad}).encode(), manifest)
             _finish(storage, manifest)
             n = sum(r["n_rows"] for r in own if r["good"])
             if inputs:
                 logger.info("%s: %d rows of %d files, %d each", output, n, len(inputs), round(n / len(inputs)))
-            done.append(Compacted(str(g), output if piece else None, len(inputs), n, tuple(bad)))
+            return Compacted(g, output if piece else None, len(inputs), n, tuple(bad))
+
+        done = [x for x in _each(finish, list(starts)) if x]
         storage.delete_directory(aside)
         return done

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import logging
 import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
 from pathlib import Path
 from zoneinfo import ZoneInfo
@@ -11,13 +13,12 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.compact import Compacted, compact
-from ..operators.entities import service_table
+from ..operators.entities import service_counts, service_table
 from ..sources import feed
 from ..sources.sinks import LandingBuffer
 from ..sources.storage import Storage, create_storage
 from .config import LakeConfig, effective_api, load_config_from_toml
 from .scheduler import Schedule, Scheduler
-from .schemas import SERVICES
 
 logger = logging.getLogger(__name__)
 
@@ -28,19 +29,33 @@ def default_session() -> SparkSession:
 
 
 def service_tables(snapshots: DataFrame, services: list[str], on_error: str = "raise") -> dict[str, DataFrame]:
-    """The requested services that have rows in the snapshots, as tables. The decoded entities are kept until ``unpersist``."""
-    entities = feed.decode(snapshots, services, on_error).persist()
-    out = {}
+    """The requested services that have rows in the snapshots, as tables. Nothing is cached; who reads several tables caches the snapshots."""
+    entities = feed.decode(snapshots, services, on_error)
+    there = {r["service"] for r in service_counts(entities).collect()}  # a row per service
     for service in services:
-        if entities.where(entities[SERVICES[service].key].isNotNull()).isEmpty():
+        if service not in there:
             logger.warning("no %s in the feed", service)
-        else:
-            out[service] = service_table(entities, service)
-    return out
+    return {s: service_table(entities, s) for s in services if s in there}
+
+
+@contextmanager
+def fetched_tables(spark: SparkSession, urls: list[tuple[str, str]], services: list[str], at: datetime | None = None) -> Iterator[dict[str, DataFrame]]:
+    """One fetch of (provider, url) pairs, by a task each, as service tables, which last as long as the context.
+
+    What cannot be fetched is logged, what cannot be decoded raises.
+    """
+    at = at or datetime.now(timezone.utc)
+    snapshots = feed.http_snapshots(spark, urls, at.timestamp()).persist()
+    try:
+        for r in snapshots.where("error IS NOT NULL").select("url", "error").collect():  # a row per URL
+            logger.error("%s: %s", r["url"], r["error"])
+        yield service_tables(snapshots, services)
+    finally:
+        snapshots.unpersist()
 
 
 def fetch_and_parse(spark: SparkSession, url: str, services: list[str], provider: str = "", at: datetime | None = None) -> dict[str, DataFrame]:
-    """One fetch as service tables; if it or its decoding fails, that is logged and there are none."""
+    """One fetch as service tables; if it or its decoding fails, that is logged and there are none. The tables hold the feed's bytes and need no release."""
     at = at or datetime.now(timezone.utc)
     try:
         body = feed.fetch(url)
@@ -68,10 +83,13 @@ class Lake:
     def fetch_once(self, provider: str, url: str, services: list[str], zone: str = "UTC", accumulate: int = 0) -> list[str]:
         """Fetches a feed and lands its tables, or holds them; the paths that landed. One instant names files and rows."""
         at = datetime.now(timezone.utc).replace(microsecond=0)
-        buffer = LandingBuffer(self.storage(provider), accumulate)
-        out = []
-        for service, table in fetch_and_parse(self.spark, url, services, provider, at).items():
-            out += buffer.add(table, provider, service, at.astimezone(ZoneInfo(zone)).replace(tzinfo=None))
+        buffer, out = LandingBuffer(self.storage(provider), accumulate), []
+        try:
+            with fetched_tables(self.spark, [(provider, url)], services, at) as tables:
+                for service, table in tables.items():
+                    out += buffer.add(table, provider, service, at.astimezone(ZoneInfo(zone)).replace(tzinfo=None))
+        except Exception:
+            logger.exception("no tables from %s", url)
         return out
 
     def compact_once(self, provider: str, services: list[str], minutes: int, zone: str = "UTC", **options) -> dict[str, list[Compacted]]:

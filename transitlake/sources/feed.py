@@ -10,6 +10,7 @@ import json
 from collections.abc import Iterator
 from datetime import datetime, timezone
 from functools import lru_cache
+from http.client import HTTPException
 from urllib.request import Request, urlopen
 
 import pyarrow as pa
@@ -67,6 +68,8 @@ ENUMS = {
 }
 PACKAGE = "transit_realtime"
 SNAPSHOT = "provider string, url string, fetch_time timestamp, content binary"
+#: What a fetch gives: one that failed has no content, but says why.
+FETCHED = f"{SNAPSHOT}, error string"
 #: Columns of decoded entities before the payload keys.
 HEAD = ("provider", "url", "fetch_time", "entityId")
 
@@ -162,7 +165,9 @@ class _Url(InputPartition):
 
 
 class FeedSource(DataSource):
-    """``spark.read.format("transit_feed")``: option ``urls`` is JSON, a list of [provider, url]; a task per URL.
+    """``spark.read.format("transit_feed")``: option ``urls`` is JSON, a list of [provider, url]; a task and a row per URL.
+
+    A URL that cannot be fetched has null content, which decodes to nothing, and the reason in ``error``.
 
     ``fetch_time``, in epoch seconds, is one instant for all; without it, that of planning. ``timeout`` is in seconds.
     """
@@ -172,7 +177,7 @@ class FeedSource(DataSource):
         return "transit_feed"
 
     def schema(self) -> str:
-        return SNAPSHOT
+        return FETCHED
 
     def reader(self, schema) -> DataSourceReader:
         return _FeedReader(dict(self.options))
@@ -189,7 +194,12 @@ class _FeedReader(DataSourceReader):
         return [_Url(p, u) for p, u in self.urls]
 
     def read(self, partition: _Url) -> Iterator[tuple]:
-        yield partition.provider, partition.url, datetime.fromtimestamp(int(self.at), timezone.utc), fetch(partition.url, self.timeout)
+        content = error = None
+        try:
+            content = fetch(partition.url, self.timeout)
+        except (OSError, HTTPException, ValueError) as e:  # the other URLs of the batch are not to suffer
+            error = f"{type(e).__name__}: {e}"
+        yield partition.provider, partition.url, datetime.fromtimestamp(int(self.at), timezone.utc), content, error
 
 
 def http_snapshots(spark: SparkSession, urls: list[tuple[str, str]], fetch_time: float | None = None, timeout: float = 60.0) -> DataFrame:

@@ -4,20 +4,59 @@ from __future__ import annotations
 
 import os
 import re
+import tempfile
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from fnmatch import fnmatch
 
+import pyarrow.fs as pafs
 from pyspark.sql import SparkSession
 
 
 @dataclass(frozen=True)
 class Root:
-    """Where a store lies, and the Hadoop settings that reach it."""
+    """Where a store lies, the Hadoop settings that reach it, and how Arrow does: a kind of file system and its arguments.
+
+    ``bucket`` is made if it is not there yet.
+    """
 
     uri: str
     conf: dict[str, str] = field(default_factory=dict)
+    arrow: tuple[str, dict] | None = None
+    bucket: str | None = None
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder that all machines see, from ``spark.checkpoint.dir``. Only where driver and executors are one machine, a temporary one if that is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines see")
+        root = tempfile.mkdtemp(prefix="transitlake-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
+
+
+def arrow_files(arrow: tuple[str, dict] | None) -> pafs.FileSystem | None:
+    """Arrow's file system of a root, which reads ranges of files; none if Arrow does not know the scheme."""
+    kinds = {"file": pafs.LocalFileSystem, "s3": getattr(pafs, "S3FileSystem", None), "gs": getattr(pafs, "GcsFileSystem", None)}
+    return kinds[arrow[0]](**arrow[1]) if arrow and kinds.get(arrow[0]) else None
+
+
+def arrow_path(uri: str) -> str:
+    """A URI's path as Arrow's file systems take it: a local one from the root, others from the bucket."""
+    scheme, _, rest = uri.partition(":")
+    return "/" + rest.lstrip("/") if scheme == "file" else rest.lstrip("/")
+
+
+def make_bucket(root: Root) -> bool:
+    """Makes the root's bucket if it is not there; whether it did."""
+    fs = arrow_files(root.arrow) if root.bucket else None
+    if fs is None or fs.get_file_info(root.bucket).type != pafs.FileType.NotFound:
+        return False
+    fs.create_dir(root.bucket, recursive=False)
+    return True
 
 
 def _needed(kind: str, params: dict, names: tuple[str, ...]) -> None:
@@ -31,19 +70,20 @@ def _below(base: str, path: str) -> str:
 
 
 def _filesystem(base_directory: str = "") -> Root:
-    return Root("file://" + os.path.abspath(base_directory or "."))
+    return Root("file://" + os.path.abspath(base_directory or "."), arrow=("file", {}))
 
 
 def _gcs(bucket_name: str = "", base_path: str = "") -> Root:
     _needed("gcs", {"bucket_name": bucket_name}, ("bucket_name",))
-    return Root(_below(f"gs://{bucket_name}", base_path))
+    return Root(_below(f"gs://{bucket_name}", base_path), arrow=("gs", {}))
 
 
 def _s3(endpoint: str = "", access_key: str = "", secret_key: str = "", bucket_name: str = "", secure: bool = True, base_path: str = "") -> Root:
     _needed("minio", {"endpoint": endpoint, "access_key": access_key, "secret_key": secret_key, "bucket_name": bucket_name}, ("endpoint", "access_key", "secret_key", "bucket_name"))
     conf = {"endpoint": endpoint, "access.key": access_key, "secret.key": secret_key, "connection.ssl.enabled": str(bool(secure)).lower(), "path.style.access": "true"}
     # per bucket, so that stores with other keys can live in one session
-    return Root(_below(f"s3a://{bucket_name}", base_path), {f"fs.s3a.bucket.{bucket_name}.{k}": v for k, v in conf.items()})
+    arrow = ("s3", {"access_key": access_key, "secret_key": secret_key, "endpoint_override": re.sub("^https?://", "", endpoint), "scheme": "https" if secure else "http", "allow_bucket_creation": True, "connect_timeout": 10, "request_timeout": 60})
+    return Root(_below(f"s3a://{bucket_name}", base_path), {f"fs.s3a.bucket.{bucket_name}.{k}": v for k, v in conf.items()}, arrow, bucket_name)
 
 
 #: Resolvers by lower-case name; more can be registered.
@@ -85,7 +125,8 @@ class Storage:
     """Files by path below a root. A failed write raises; a file is there whole or not at all."""
 
     def __init__(self, spark: SparkSession, root: Root | str):
-        self.spark, self.root = spark, root if isinstance(root, Root) else Root(root)
+        self.spark, self.root = spark, root if isinstance(root, Root) else Root(root, arrow=("file", {}) if root.startswith("file:") else None)
+        make_bucket(self.root)
         jvm = spark._jvm
         conf = spark._jsc.hadoopConfiguration()
         for k, v in self.root.conf.items():
@@ -180,6 +221,12 @@ class Storage:
         out.close()
         return True
 
+    def rewrite(self, path: str, data: bytes) -> None:
+        """Writes a small file in its place, so that it is never absent."""
+        out = self.fs.create(self._at(path), True)
+        out.write(data)
+        out.close()
+
     def age_seconds(self, path: str) -> float:
         import time
 
