@@ -3,33 +3,41 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from transitlake.operators import files as G
-from transitlake.operators.compact import closed_groups, judged, union_all
+from transitlake.operators.compact import judged, union_all
+from transitlake.operators.files import closed_groups
 
 
 def listing(spark, stamps, prefix=""):
     return spark.createDataFrame([(f"p/S/individual/{prefix}{t:%Y-%m-%d_%H-%M-%S}.parquet",) for t in stamps], "path string").withColumn("service", F.lit("S"))
 
 
+def groups(files, minutes, zone="UTC", force=False):
+    return {r.group_time: r.n for r in G.closed_groups(files, minutes, zone, force).groupBy("group_time").agg(F.count("path").alias("n")).collect()}
+
+
 def test_an_hour_of_minutes_makes_four_groups(spark):
     start = datetime(2023, 1, 1, 12)
-    grouped = G.group_files(listing(spark, [start + timedelta(minutes=i) for i in range(60)], "individual_"), 15, ["service"]).orderBy("group_time").collect()
-    assert [r.n_files for r in grouped] == [15] * 4
-    assert [r.group_time for r in grouped] == [start + timedelta(minutes=15 * i) for i in range(4)]
-    assert grouped[0].paths == sorted(grouped[0].paths)
+    files = listing(spark, [start + timedelta(minutes=i) for i in range(60)], "individual_")
+    assert groups(files, 15, force=True) == {start + timedelta(minutes=15 * i): 15 for i in range(4)}
+    assert groups(files, 15) == {start + timedelta(minutes=15 * i): 15 for i in range(3)}
 
 
 def test_a_group_closes_when_a_later_one_begins(spark):
     start = datetime(2023, 1, 1)
     files = listing(spark, [start, start + timedelta(minutes=16), start + timedelta(minutes=29)])
-    assert [r.group_time for r in G.closed(G.group_files(files, 15, ["service"]), 15, ["service"]).collect()] == [start]
-    assert G.closed(G.group_files(files, 60, ["service"]), 60, ["service"]).isEmpty()
-    assert closed_groups(files.select("path"), 60, force=True).count() == 3
+    assert groups(files, 15) == {start: 1} and groups(files, 60) == {} and G.closed_groups(files, 60, force=True).count() == 3
+
+
+def test_directories_close_for_themselves(spark):
+    start = datetime(2023, 1, 1)
+    files = listing(spark, [start, start + timedelta(minutes=20)])
+    other = files.limit(1).withColumn("path", F.replace("path", F.lit("/S/"), F.lit("/T/")))
+    assert {r.directory for r in G.closed_groups(files.union(other), 15).collect()} == {"p/S/individual"}
 
 
 def test_unparseable_names_are_left_out(spark):
     bad = spark.createDataFrame([("p/S/individual/x.parquet", "S")], "path string, service string")
-    assert G.with_buckets(bad, 15).isEmpty()
-    assert closed_groups(bad.select("path"), 15, force=True).isEmpty()
+    assert G.with_buckets(bad, 15).isEmpty() and G.closed_groups(bad, 15, force=True).isEmpty()
 
 
 def test_buckets_longer_than_a_day_close_after_their_minutes(spark):
@@ -45,14 +53,6 @@ def test_a_change_of_clocks_shortens_an_hour(spark):
     assert closed_groups(files.select("path"), 120, "Europe/Amsterdam").isEmpty()  # 00:00 to 02:00 is over only at 01:00Z, and 03:05's bucket began at 00:00Z
 
 
-def test_full_batches(spark):
-    rows = spark.createDataFrame([("a", datetime(2024, 1, 1) + timedelta(hours=7 * i), i) for i in range(11)] + [("b", datetime(2024, 1, 1), 0)], "k string, t timestamp, i int")
-    for n in (1, 2, 3, 5, 11, 12):
-        got = {r.i: r.batch for r in G.full_batches(rows, n, ["k"], ["t", "i"]).where("k = 'a'").collect()}
-        assert got == {i: i // n for i in range(11 // n * n)}
-    assert G.full_batches(rows, 0, ["k"], ["t"]).count() == 12
-
-
 def test_judgement_of_schemas(spark):
     g = datetime(2024, 1, 1)
     rows = [(g, "1a", True, 0, "z"), (g, "1b", True, 3, "x"), (g, "1c", True, 3, "y"), (g, "1d", True, 0, "y"), (g, "1e", False, 0, ""), (g, "1f", True, 1, "x not null")]

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from ..functions import timebucket as tb
 from ..sources.sinks import parquet_options
 from ..sources.storage import Storage, arrow_files, arrow_path
+from .files import closed_groups
 
 logger = logging.getLogger(__name__)
 #: A lock older than this was left by a run that died; one that lives renews its lock four times in that time.
@@ -140,22 +141,6 @@ def judged(files: DataFrame, schema_mode: str = "strict") -> DataFrame:
     return files.withColumn("_first", first).withColumn("good", F.col("readable") & F.coalesce(same, F.lit(True))).drop("_first", "_held")
 
 
-def closed_groups(files: DataFrame, minutes: int, zone: str = "UTC", force: bool = False) -> DataFrame:
-    """(path, group_time) of the files whose bucket is closed: some file's bucket begins at or after this one's end.
-
-    Buckets are compared as instants, each on its own file's side of a change of clocks; ``force`` closes all.
-    """
-    rows = files.withColumn("local_time", tb.parse_path(F.col("path"))).where("local_time IS NOT NULL")
-    rows = rows.withColumn("group_time", tb.bucket(F.col("local_time"), minutes))
-    rows = rows.withColumn("_start", tb.instant(F.col("local_time"), zone) - (F.col("local_time") - F.col("group_time")))
-    if not force:
-        last = rows.agg(F.max("_start").alias("_last"))
-        ends = rows.groupBy("group_time").agg(F.max("_start").alias("_s")).crossJoin(F.broadcast(last))  # one row
-        ready = ends.where(F.col("_last") >= tb.bucket_end(F.col("_s"), minutes)).select("group_time")
-        rows = rows.join(ready, "group_time", "left_semi")
-    return rows.select("path", "group_time")
-
-
 def _key(uri: Column) -> Column:
     """A file's URI without its scheme, which is written with one slash or three."""
     return F.regexp_replace(uri, "^[A-Za-z0-9]+:/*", "/")

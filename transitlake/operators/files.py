@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from ..functions import timebucket as tb
 
 
-def with_buckets(files: DataFrame, minutes: int) -> DataFrame:
-    """``files`` (path, ...) with ``local_time`` and ``group_time``; names without a time are left out."""
-    return files.withColumn("local_time", tb.parse_path(F.col("path"))).where("local_time IS NOT NULL").withColumn("group_time", tb.bucket(F.col("local_time"), minutes))
+def with_buckets(files: DataFrame, minutes: int, zone: str = "UTC") -> DataFrame:
+    """``files`` (path, ...) with ``local_time``, ``group_time`` and ``start``, the bucket's start as an instant on the file's own side of a change of clocks.
+
+    Names without a time are left out.
+    """
+    rows = files.withColumn("local_time", tb.parse_path(F.col("path"))).where("local_time IS NOT NULL")
+    rows = rows.withColumn("group_time", tb.bucket(F.col("local_time"), minutes))
+    return rows.withColumn("start", tb.instant(F.col("local_time"), zone) - (F.col("local_time") - F.col("group_time")))
 
 
 def closed(rows: DataFrame, minutes: int, keys: list[str], time: str = "group_time") -> DataFrame:
@@ -23,38 +28,13 @@ def closed(rows: DataFrame, minutes: int, keys: list[str], time: str = "group_ti
     return rows.join(last, keys).where(F.col("_last") >= tb.bucket_end(F.col(time), minutes)).drop("_last")
 
 
-def group_files(files: DataFrame, minutes: int, keys: list[str]) -> DataFrame:
-    """One row per keys and bucket: the paths, sorted, and how many."""
-    grouped = with_buckets(files, minutes).groupBy(*keys, "group_time").agg(F.array_sort(F.collect_list("path")).alias("paths"))
-    return grouped.withColumn("n_files", F.size("paths"))
-
+def closed_groups(files: DataFrame, minutes: int, zone: str = "UTC", force: bool = False) -> DataFrame:
+    """(directory, path, group_time) of the files whose bucket is closed within their directory; ``force`` closes all.
 
-def full_batches(rows: DataFrame, count: int, keys: list[str], order: list[str]) -> DataFrame:
-    """Accumulate and flush, for rows at hand: rows of a key in ``order``, numbered in batches of ``count``; a batch that is not full yet is left out.
-
-    ``count`` 0 writes through: each row is a batch. Position within a key comes from a count per day and a running number
-    within the day, so that one busy key is not sorted in one task.
+    A bucket whose files lie on both sides of a change of clocks ends with the later of them.
     """
-    from pyspark.sql import Window
-
-    if count <= 0:
-        count = 1
-    day = F.date_trunc("DAY", F.col(order[0]).cast("timestamp")).alias("_day")
-    rows = rows.withColumn("_day", day)
-    per_day = rows.groupBy(*keys, "_day").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*keys).orderBy("_day")
-    before = per_day.withColumn("_before", F.sum("_n").over(w) - F.col("_n")).withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys))).drop("_n")
-    within = F.row_number().over(Window.partitionBy(*keys, "_day").orderBy(*order))
-    placed = rows.withColumn("_within", within).join(before, [*keys, "_day"])
-    placed = placed.withColumn("batch", F.floor((F.col("_before") + F.col("_within") - 1) / count).cast("long"))
-    return placed.where((F.col("batch") + 1) * count <= F.col("_total")).drop("_day", "_within", "_before", "_total")
-
-
-def latest(rows: DataFrame, keys: list[str], value: str, order: list[str]) -> DataFrame:
-    """Of each key the value that came last."""
-    return rows.groupBy(*keys).agg(F.max_by(value, F.struct(*order)).alias(value))
-
-
-def without(rows: DataFrame, bad: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows whose keys are not among the bad ones."""
-    return rows.join(bad.select(*keys).distinct(), keys, "left_anti")
+    rows = with_buckets(files.select("path"), minutes, zone).withColumn("directory", F.regexp_replace("path", "/[^/]*$", ""))
+    if not force:
+        groups = rows.groupBy("directory", "group_time").agg(F.max("start").alias("start"))
+        rows = rows.join(closed(groups, minutes, ["directory"], "start").select("directory", "group_time"), ["directory", "group_time"], "left_semi")
+    return rows.select("directory", "path", "group_time")
