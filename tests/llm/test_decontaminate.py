@@ -83,3 +83,28 @@ def test_shared_folders_are_released(spark):
     assert shared.staged(spark.range(3), folder, "x").count() == 3 and os.path.isdir(folder.removeprefix("file://"))
     shared.release(spark)
     assert not os.path.exists(folder.removeprefix("file://")) and not shared._FOLDERS
+
+
+def test_scratch_folders_go_and_others_stay(spark):
+    import os
+
+    from transitlake.llm import shared
+
+    shared.release(spark)
+    keep = shared.shared_dir(spark)
+    shared.staged(spark.range(3), keep, "x")
+    with shared.scratch(spark):
+        inner = shared.shared_dir(spark)
+        shared.staged(spark.range(3), inner, "x")
+    assert os.path.isdir(keep.removeprefix("file://")) and not os.path.exists(inner.removeprefix("file://")) and shared._FOLDERS == [keep]
+    shared.release(spark)
+
+
+def test_few_partitions_are_dealt_out(spark, tmp_path):
+    from transitlake.llm.shared import spread
+
+    spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    assert df.rdd.getNumPartitions() == 1 and spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and spread(df).count() == 100
+    wide = spark.range(100).repartition(9)
+    assert spread(wide) is wide

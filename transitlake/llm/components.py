@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import small, staged
+from .shared import drop, small, staged
 
 
 #: Rows of the table of least neighbours that are broadcast, 16 bytes each.
@@ -30,7 +30,7 @@ def components(edges: DataFrame, folder: str, name: str, rounds: int = 50) -> Da
     """(node, root) for every node with an edge in ``edges`` (a, b); ``root`` is the least node of its component.
 
     Loops and repeated edges are ignored; an empty table gives an empty table. Each round is written to the shared folder,
-    so that a lost executor costs no more than the round.
+    so that a lost executor costs no more than the round; the one before it goes.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now = staged(edges, folder, f"{name}-0")
@@ -40,6 +40,7 @@ def components(edges: DataFrame, folder: str, name: str, rounds: int = 50) -> Da
         if tops.where("n > 1").isEmpty() and now.join(tops.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
             break
         now = staged(_stars(now, folder, f"{name}-{i}"), folder, f"{name}-{i}")
+        drop(now.sparkSession, f"{folder}/{name}-{i - 1}", *[f"{folder}/{name}-{i}-{part}" for part in ("least", "large", "lower")])
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", F.col("b").alias("root")).distinct())

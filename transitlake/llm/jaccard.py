@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .bytewords import PLAIN, Hasher, U, chunks, joined, mixed, seeds, string_array, words_of
 from .components import components
-from .shared import held, row_key, shared_dir, small, staged
+from .shared import drop, held, row_key, shared_dir, small, staged
 
 SHINGLE, THRESHOLD, RECALL, HASHES = 5, 0.8, 0.9999, 192
 #: Shingles and nodes of a block; two blocks meet in a task.
@@ -316,6 +316,7 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int
     roots = whole.union(split)
     known = nodes.select("node", "d1", "d2", "m", "rep").join(roots, "node", "left").join(links, "node", "left").select("node", "d1", "d2", "m", "rep", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
     known = staged(known, folder, "known")
+    drop(spark, *[f"{folder}/{x}" for x in ("nodes", "wanted", "placed", "fetched", "verified")])
     classes = known.groupBy("root").agg(F.min("rep").alias("class_id"))
     known = known.join(classes, "root").select("d1", "d2", "root", "class_id", (F.col("links") + F.col("m") - 1).alias("n_links"))
     some = members.join(known, ["d1", "d2"]).select("doc_id", "class_id", "n_links", "root", "_k1", "_k2")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.storage import shared_root
+
 #: Runs of what is no word character; applied to a text whose case is still as it was.
 NO_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _FOLDERS: list[str] = []
@@ -15,22 +18,40 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which all machines see; a temporary one only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="transitlake-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    _FOLDERS.append(folder := f"{root.rstrip('/')}/transitlake/{uuid.uuid4().hex}")
+    """A new folder below ``spark.checkpoint.dir``, which all machines see; on a cluster that does not set it this raises."""
+    _FOLDERS.append(folder := f"{shared_root(spark)}/transitlake/{uuid.uuid4().hex}")
     return folder
 
 
-def release(spark: SparkSession) -> None:
-    """Deletes all folders that ``shared_dir`` gave in this process; what was read from them is lost, token files too."""
-    while _FOLDERS:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop())
+def drop(spark: SparkSession, *folders: str) -> None:
+    """Deletes folders; what is not there does not matter."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession, keep: int = 0) -> None:
+    """Deletes all folders that ``shared_dir`` gave in this process but the first ``keep``; what was read from them is lost, token files too."""
+    while len(_FOLDERS) > keep:
+        drop(spark, _FOLDERS.pop())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Folders that ``shared_dir`` gives inside are deleted at the end: for a step whose result is written elsewhere."""
+    n = len(_FOLDERS)
+    try:
+        yield
+    finally:
+        release(spark, n)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scanned table, its rows dealt out anew if it has fewer partitions than the cluster has cores; such a table is small."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def staged(df: DataFrame, folder: str, name: str) -> DataFrame:
     """``df`` written below the shared folder as Parquet and read again; this cuts lineage and outlives executors."""
     path = f"{folder}/{name}"
