@@ -50,6 +50,19 @@ def test_equals_brute_force(spark, docs, items, limit, monkeypatch):
     assert sorted([tuple(r) for r in got.collect()], key=repr) == want
 
 
+def test_large_benchmarks_are_broadcast_as_bits(spark, docs, monkeypatch):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = brute(rows, ITEMS)
+    for words, most in ((1, 1 << 28), (4, 1 << 28), (1 << 20, 10)):
+        monkeypatch.setattr(D, "FILTER_WORDS", words)
+        monkeypatch.setattr(D, "BROADCAST_BYTES", most)
+        found = D.contamination(docs, bench(spark, ITEMS), broadcast_windows=0 if most > 10 else 10**6)
+        got = found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256), F.col("n_hit") > 0)
+        assert sorted([tuple(r) for r in got.collect()], key=repr) == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
 def test_case_is_that_of_ascii_alone(spark):
     docs = spark.createDataFrame([(1, "ÉCOLE a b"), (2, "école A B"), (3, "K b c"), (4, "İx y z")], "doc_id long, text string")
     for item in ("école a b", "ÉCOLE A b", "k b c", "İX Y Z"):

@@ -1,8 +1,9 @@
 """Benchmark decontamination in DataFrame operations.
 
-The windows of the benchmark, hashed, make a broadcast hash set (beyond ``broadcast_windows`` of them a shuffled join
-takes its place). Every word position of the documents probes it inside one generated-code stage, and only hits and one
-row per document leave that stage. A hash says "maybe": each hit is held against the window's own words.
+The windows of the benchmark, hashed, make a broadcast hash set. Every word position of the documents probes it inside one
+generated-code stage, and only hits and one row per document leave that stage. A hash says "maybe": each hit is held against
+the window's own words. A benchmark too large for that is broadcast as bits, two for each window in a table of fixed size;
+positions that find both go into a shuffled join with the windows, all others stay where they are.
 """
 
 from __future__ import annotations
@@ -13,8 +14,10 @@ from pyspark.sql import functions as F
 from .shared import held, lower_ascii, row_key, words
 
 WINDOW = 10
-#: Windows of a benchmark that are broadcast, about 200 bytes each.
-BROADCAST_WINDOWS = 1_000_000
+#: Windows of a benchmark that are broadcast at most, and bytes that they, their words and their items take.
+BROADCAST_WINDOWS, BROADCAST_BYTES = 1_000_000, 256 << 20
+#: Words, of 64 bits, of the table of bits; about 40 bytes each where it is broadcast.
+FILTER_WORDS = 1 << 20
 
 
 def _hash(tokens: Column, start: Column, length: int) -> Column:
@@ -41,6 +44,25 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, text: str = "t
     return part.groupBy(hashes.alias("_h"), F.col("len").alias("_len"), F.col("words").alias("_words")).agg(F.collect_set("item").alias("_items"))
 
 
+def _is_few(table: DataFrame, most: int) -> bool:
+    """Whether the windows are few and small enough to be broadcast, items included."""
+    found = table.agg(F.count(F.lit(1)).alias("n"), F.sum(100 + F.octet_length("_words") + F.aggregate("_items", F.lit(0), lambda s, x: s + 24 + F.octet_length(x))).alias("bytes")).first()
+    return found["n"] <= most and (found["bytes"] or 0) <= BROADCAST_BYTES
+
+
+def _bits(hashes: Column) -> Column:
+    """Two bits of 64, by a hash's upper twelve."""
+    one, two = F.shiftrightunsigned(hashes, 52).bitwiseAND(63), F.shiftrightunsigned(hashes, 58)
+    return F.call_function("shiftleft", F.lit(1).cast("long"), one.cast("int")).bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), two.cast("int")))
+
+
+def _probed(at: DataFrame, table: DataFrame) -> DataFrame:
+    """The positions whose hash ``_at`` may be that of a window: a table of at most ``FILTER_WORDS`` rows tells."""
+    words = table.select(F.pmod("_h", F.lit(FILTER_WORDS)).alias("_w"), _bits(F.col("_h")).alias("_b")).groupBy("_w").agg(F.bit_or("_b").alias("_b"))
+    mine = _bits(F.col("_at"))
+    return at.where("_at IS NOT NULL").join(F.broadcast(words), (F.pmod("_at", F.lit(FILTER_WORDS)) == F.col("_w")) & (F.col("_b").bitwiseAND(mine) == mine)).drop("_w", "_b")
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", doc_id: str = "doc_id", broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """Per document: ``_k1``, ``_k2`` (its row key), doc_id, n_words, n_hit, n_items, items, spans.
 
@@ -49,7 +71,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, t
     """
     table = benchmark_windows(benchmark, window)
     lengths = sorted(r[0] for r in table.select("_len").distinct().collect()) or [window]  # at most `window` numbers
-    few = table.limit(broadcast_windows + 1).count() <= broadcast_windows
+    few = _is_few(table, broadcast_windows)
     docs = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     docs = docs.select("_id", *row_key(F.col("_id"), F.col("_text")), words(F.col("_text")).alias("_raw")).withColumn("_low", _hashed(F.col("_raw")))
     i, n = F.col("_i"), F.size("_raw")
@@ -63,13 +85,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, t
         hashes = F.when((k == m) & (i >= 1) & (i + m - 1 <= n), _hash(F.col("_low"), i - 1, m)).otherwise(hashes)
     at, said = at.withColumn("_at", hashes), lower_ascii(F.array_join(F.slice("_raw", F.greatest(i, F.lit(1)), k), " "))
     # no higher-order function and no array of a whole text leaves the generated code that walks the positions
+    span = F.struct(i.alias("a"), (i + k - 1).alias("b"))
     if few:
         met = at.join(F.broadcast(table), (F.col("_at") == F.col("_h")) & (k == F.col("_len")) & (F.col("_words") == said), "left")
+        met = met.where((i == 0) | F.col("_h").isNotNull())
+        met = met.select("_id", "_k1", "_k2", "_i", n.alias("_n"), F.when(i > 0, span).alias("_span"), "_items")
     else:
-        at = at.select("_id", "_k1", "_k2", "_i", n.alias("_n"), "_k", "_at", F.when(F.col("_at").isNotNull(), said).alias("_said"))
-        met, n = at.join(table, (F.col("_at") == F.col("_h")) & (F.col("_words") == F.col("_said")), "left"), F.col("_n")
-    met = met.where((i == 0) | F.col("_h").isNotNull())
-    met = met.select("_id", "_k1", "_k2", "_i", n.alias("_n"), F.when(i > 0, F.struct(i.alias("a"), (i + k - 1).alias("b"))).alias("_span"), "_items")
+        probed = _probed(at, table).select("_id", "_k1", "_k2", "_i", n.alias("_n"), "_k", "_at", said.alias("_said"))
+        hits = probed.join(table, (F.col("_at") == F.col("_h")) & (F.col("_words") == F.col("_said"))).select("_id", "_k1", "_k2", "_i", "_n", span.alias("_span"), "_items")
+        none = F.lit(None)
+        met = hits.union(docs.select("_id", "_k1", "_k2", F.lit(0), n, none.cast("struct<a:int,b:int>"), none.cast("array<string>")))
     per = met.groupBy("_id", "_k1", "_k2").agg(
         F.count(F.when(i == 0, 1)).alias("_copies"), F.max("_n").cast("long").alias("n_words"),
         F.array_sort(F.collect_set("_span")).alias("_spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("_items")))).alias("items"),
