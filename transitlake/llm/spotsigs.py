@@ -9,6 +9,8 @@ signatures. Sets are compared by Jaccard; a pair whose lengths alone rule the th
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,7 +62,7 @@ def signatures(text: Column, chain: int = CHAIN, anchors: dict[str, list[str]] =
 
 
 def with_signatures(df: DataFrame, text: str, name: str, whole: bool = False) -> DataFrame:
-    """``df`` and the column ``name``, the signatures of ``text``."""
+    """``df`` and the column ``name``, the signatures of ``text``; none for a null or empty one. Rows that repeat have the same."""
     keep = df.columns
     for step, column in signatures(F.coalesce(F.col(text), F.lit("")), whole=whole):
         df = df.withColumn(step, column)
@@ -97,18 +99,20 @@ def search(docs: DataFrame, queries: DataFrame, threshold: float = THRESHOLD, wh
         return full.groupBy("_k1", "_k2").agg(F.any_value("sigs").alias("sigs")), full.select("doc_id", "_k1", "_k2")
 
     def prefixes(df: DataFrame, reach: int) -> DataFrame:
+        # entries hold no sets, so that a common signature's are short
         n = F.size("sigs")
         run = F.floor(F.log(n.cast("double")) / F.log(F.lit(1 / min(threshold, 0.999)))).cast("int")
         head = F.slice("sigs", F.lit(1), F.least(n, n - F.ceil(n * threshold - 1e-9).cast("int") + 1))
-        out = df.select("_k1", "_k2", "sigs", F.explode(head).alias("sig"), run.alias("run"))
+        out = df.select("_k1", "_k2", n.alias("n"), F.explode(head).alias("sig"), run.alias("run"))
         return out.withColumn("run", F.explode(F.sequence(F.col("run") - reach, F.col("run") + reach))) if reach else out
 
     (mine, my_ids), (all_sets, ids) = sets(queries), sets(docs)
-    a = prefixes(mine, 1).select("sig", "run", F.col("_k1").alias("q1"), F.col("_k2").alias("q2"), F.col("sigs").alias("q"))
-    near = likeness(F.col("q"), F.col("sigs"), threshold)
-    met = a.join(prefixes(all_sets, 0), ["sig", "run"]).where(F.least(F.size("q"), F.size("sigs")) >= threshold * F.greatest(F.size("q"), F.size("sigs")) - 1e-9)
-    # of the shared signatures only the first of both prefixes brings the pair
-    met = met.where(F.col("sig") == F.get(F.array_intersect("q", "sigs"), F.lit(0))).select("q1", "q2", "_k1", "_k2", near.alias("likeness")).where(F.col("likeness") >= threshold)
+    a = prefixes(mine, 1).select("sig", "run", F.col("_k1").alias("q1"), F.col("_k2").alias("q2"), F.col("n").alias("m"))
+    met = a.join(prefixes(all_sets, 0), ["sig", "run"]).where(F.least("m", "n") >= threshold * F.greatest("m", "n") - 1e-9)
+    # a pair that shares several signatures of its prefixes is compared once
+    met = met.select("q1", "q2", "_k1", "_k2").distinct()
+    met = met.join(mine.select(F.col("_k1").alias("q1"), F.col("_k2").alias("q2"), F.col("sigs").alias("q")), ["q1", "q2"]).join(all_sets, ["_k1", "_k2"])
+    met = met.select("q1", "q2", "_k1", "_k2", likeness(F.col("q"), F.col("sigs"), threshold).alias("likeness")).where(F.col("likeness") >= threshold)
     met = met.join(ids, ["_k1", "_k2"]).drop("_k1", "_k2")
     return met.join(my_ids.select(F.col("doc_id").alias("query_id"), F.col("_k1").alias("q1"), F.col("_k2").alias("q2")), ["q1", "q2"]).select("query_id", "doc_id", "likeness")
 
@@ -132,19 +136,15 @@ def with_next(docs: DataFrame, sigs: bool = True, whole: bool = False) -> DataFr
     # run k holds the ids above bounds[k - 1], up to and with bounds[k]; run -1 the null ones
     dealt = _placed(docs, bounds, "_run").withColumn("_ghost", F.lit(0))
     order = [F.col("_ghost").asc(), F.col("doc_id").desc_nulls_last(), F.xxhash64("text").asc(), F.col("text").asc()]
-    # which documents begin a run, in descending order: a row a run
-    tops = dealt.groupBy("_run").agg(F.max("doc_id").alias("top"))
-    runs = sorted((r["_run"], r["top"]) for r in tops.collect())  # at most n + 1 rows
-    # run -> the run above it, which its first document closes; above the uppermost one comes the lowest again
-    below = {runs[i][0]: runs[(i + 1) % len(runs)][0] for i in range(len(runs))}
-    heads = [t for _, t in runs if t is not None]
-    head = F.col("doc_id").isin(heads) if heads else F.lit(False)
-    nulls = F.col("doc_id").isNull() if any(t is None for _, t in runs) else F.lit(False)
-    first = Window.partitionBy("_run").orderBy(F.xxhash64("text").asc(), F.col("text").asc())
-    ghosts = dealt.where(head | nulls).withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
-    above = F.broadcast(spark.createDataFrame(list(below.items()), "_run int, _above int"))  # a row a run
-    ghosts = ghosts.join(above, "_run").withColumn("_run", F.col("_above")).withColumn("_ghost", F.lit(1))
-    both = dealt.unionByName(ghosts.drop("_above"))
+    # which documents begin a run, in descending order: a row a run, at most n + 1
+    runs = sorted((r["_run"], r["top"], r["h"]) for r in dealt.groupBy("_run").agg(F.max("doc_id").alias("top"), F.min_by(F.xxhash64("text"), F.struct(-F.col("doc_id"), F.xxhash64("text"))).alias("h")).collect())
+    # beside each run the one above it, which its first document closes; above the uppermost one comes the lowest again
+    above = [(run, runs[(i + 1) % len(runs)][0], top, h) for i, (run, top, h) in enumerate(runs)]
+    above = F.broadcast(spark.createDataFrame(above, "_run int, _above int, _top long, _h long"))
+    heads = dealt.join(above, "_run").where(F.col("doc_id").eqNullSafe(F.col("_top")) & (F.xxhash64("text") == F.col("_h")))
+    first = Window.partitionBy("_run").orderBy(F.col("text").asc())
+    ghosts = heads.withColumn("_n", F.row_number().over(first)).where("_n = 1").select("doc_id", "text", F.col("_above").alias("_run"), F.lit(1).alias("_ghost"))
+    both = dealt.unionByName(ghosts)
     w = Window.partitionBy("_run").orderBy(*order)
     out = both.withColumn("next_text", F.lead("text").over(w))
     if sigs:
@@ -154,7 +154,7 @@ def with_next(docs: DataFrame, sigs: bool = True, whole: bool = False) -> DataFr
 
 def _placed(docs: DataFrame, bounds: list, name: str) -> DataFrame:
     """With ``name``: how many of the ascending ``bounds`` lie below doc_id, by halving; -1 for a null one."""
-    values, n = F.array(*map(F.lit, bounds)), len(bounds)
+    values, n = F.from_json(F.lit(json.dumps(bounds)), "array<bigint>"), len(bounds)  # one literal, however many
     docs = docs.withColumn(name, F.lit(0))
     for step in [1 << i for i in reversed(range(n.bit_length()))]:
         docs = docs.withColumn(name, F.when((F.col(name) + step <= n) & (F.get(values, F.col(name) + step - 1) < F.col("doc_id")), F.col(name) + step).otherwise(F.col(name)))
