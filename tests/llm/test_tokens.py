@@ -141,7 +141,7 @@ def test_the_query_has_no_limit_of_segments(spark, plain, tmp_path):
 
     spark.createDataFrame([(i, "a b") for i in range(5000)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
     padding, n = check_packing(op3_packing(spark, str(tmp_path)).collect(), {i: [*plain("a b"), 1] for i in range(5000)}, P.Limits())
-    assert padding == 0 and n <= 15_000 // 2048 + 11
+    assert padding == 0 and n <= 15_000 // 2048 + 11 * spark.sparkContext.defaultParallelism  # a task ends in powers of two
 
 
 def test_edge_cases_of_packing(docs, empty):
@@ -174,3 +174,35 @@ def test_what_fits_nowhere_raises():
         list(P.Packer(P.Limits(10, 2, 5), cut=False).feed("a", 5, 6))
     with pytest.raises(ValueError, match="all of its tokens"):
         list(P.Packer(P.Limits(10, 2, 5), cut=True).feed("a", 5, 2))
+
+
+def test_conversations_under_three_limits(spark, plain, prose):
+    r, limits = random.Random(4), P.Limits(300, 4, 120)
+    rows = [(c, t, ["user", "assistant"][t % 2], prose(c * 50 + t, r.randrange(0, 30))) for c in range(60) for t in range(r.randrange(1, 40))]
+    rows += [(99, 0, "assistant", prose(7, 900)), (99, 0, "assistant", prose(7, 900)), (None, 1, "user", "x"), (100, None, None, None), (101, 3, "assistant", "")]
+    df = spark.createDataFrame([(*x, "clash") for x in rows], "conv_id long, turn long, role string, text string, tokens string").repartition(3)
+    got = P.pack_conversations(df, limits, pool=64).collect()
+    want = {}
+    for c, t, role, text in rows:
+        n, m = want.get(key := (c, None if t is None else t // P.TURNS), (0, 0))
+        k = len(plain(text)) + 1
+        want[key] = (n + k, m + k * (role == "assistant"))
+    by_key, by_sequence = {}, {}
+    for x in got:
+        by_key.setdefault((x.conv_id, x.block), []).append(x)
+        by_sequence.setdefault(x.sequence_id, []).append(x)
+    assert {k: sum(x.tokens for x in v) for k, v in by_key.items()} == {k: n for k, (n, _) in want.items()}
+    for k, (n, m) in want.items():
+        if n <= limits.tokens and m <= limits.loss_tokens:
+            assert [(x.part, x.loss_tokens) for x in by_key[k]] == [(0, m)]
+        else:
+            assert sorted(x.part for x in by_key[k]) == list(range(-(-n // 120))) and sum(x.loss_tokens for x in by_key[k]) >= m
+    for xs in by_sequence.values():
+        at = 0
+        for x in sorted(xs, key=lambda x: x.offset):
+            assert x.offset == at
+            at += x.tokens
+        assert at <= limits.tokens and len(xs) <= limits.segments and sum(x.loss_tokens for x in xs) <= limits.loss_tokens
+    least = max(sum(x.tokens for x in got) / limits.tokens, len(got) / limits.segments, sum(x.loss_tokens for x in got) / limits.loss_tokens)
+    assert len(by_sequence) <= 1.25 * least + 4
+    assert P.pack_conversations(df.limit(0)).collect() == []

@@ -206,3 +206,41 @@ def pack_documents(docs: DataFrame, limits: Limits = Limits(), end_id: int = 1,
             yield given(like)
 
     return own.mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids)
+
+
+#: Turns of a conversation that make one example.
+TURNS = 16
+
+
+def conversation_examples(turns: DataFrame, limits: Limits, end_id: int = 1, tokenizer: str | None = None, block: int = TURNS) -> DataFrame:
+    """(key, tokens, loss_tokens) from (conv_id, turn, role, text): instruction examples, each so many turns of a conversation.
+
+    A turn has the tokens of its text and the end id; those of the assistant's turns bear loss. Counts are summed before and
+    after one shuffle, so that a conversation of any length is no burden. ``key`` is (conv_id, block, part): an example that
+    no sequence holds is cut in parts, of which each counts as bearing as much loss as it can. A null text is empty, a null
+    turn makes a block of its own, a null role bears no loss; repeated turns count as often; other columns are ignored.
+    """
+    path = tokenizer or default_tokenizer()
+    own = turns.select("conv_id", F.floor(F.col("turn") / block).alias("block"), F.coalesce(F.col("role") == "assistant", F.lit(False)).alias("loss"), F.coalesce("text", F.lit("")).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = encoder_of(path)
+        for batch in in_rows(batches):
+            n = [len(x) // encoder.width.itemsize for x in encoder(batch.column("text").to_pylist(), end_id)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("conv_id", "block", "loss")), pa.array(n, pa.int64())], ["conv_id", "block", "loss", "n"])
+
+    kind = own.schema["conv_id"].dataType.simpleString()
+    counted = own.mapInArrow(run, f"conv_id {kind}, block long, loss boolean, n long")
+    summed = counted.groupBy("conv_id", "block").agg(F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("loss"), F.col("n"))), F.lit(0)).alias("m"))
+    fits, most = (F.col("n") <= limits.tokens) & (F.col("m") <= limits.loss_tokens), min(limits.tokens, limits.loss_tokens)
+    parts = F.when(fits, F.array(F.struct(F.lit(0).cast("long").alias("part"), F.col("n").alias("tokens"), F.col("m").alias("loss_tokens")))).otherwise(
+        F.transform(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / most)), lambda k: F.struct(k.alias("part"), F.least(F.lit(most), F.col("n") - k * most).alias("tokens"), F.least(F.lit(most), F.col("n") - k * most, F.col("m")).alias("loss_tokens")))
+    )
+    each = summed.select("conv_id", "block", F.explode(parts).alias("p"))
+    return each.select(F.struct("conv_id", "block", "p.part").alias("key"), "p.tokens", "p.loss_tokens")
+
+
+def pack_conversations(turns: DataFrame, limits: Limits = Limits(2048, 16, 1024), end_id: int = 1, tokenizer: str | None = None, pool: int = POOL) -> DataFrame:
+    """The examples of ``conversation_examples`` in sequences: (conv_id, block, part, tokens, loss_tokens, sequence_id, offset)."""
+    packed = pack_pieces(conversation_examples(turns, limits, end_id, tokenizer), limits, pool)
+    return packed.select("key.*", "tokens", "loss_tokens", "sequence_id", "offset")

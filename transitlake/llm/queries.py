@@ -27,6 +27,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack_documents(_table(spark, sf_dir, "documents"), pack.Limits(2048, 2048, 2048), end_id=1)
 
 
+def pack_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packing operator's form for instruction data, where tokens, segments and loss-bearing tokens are three limits."""
+    return pack.pack_conversations(_table(spark, sf_dir, "conversations"), pack.Limits(2048, 16, 1024), end_id=1)
+
+
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.edited_fingerprints(_table(spark, sf_dir, "documents"), whole=True)
 
@@ -69,5 +74,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_ngram_jaccard_join,
         op9_warc_derivatives,
         op10_url_filter,
+        pack_conversations,
     )
 }
