@@ -1,11 +1,55 @@
+import math
+import re
 import zlib
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from transitlake.llm import quality as Q
 
+COMMON = {w for v in Q.ANCHORS.values() for w in v}
+SPACE = r"[ \t\n\x0b\f\r]"
+
+
+def share(a, b):
+    return a / b if b > 0 else 0.0
+
+
+def brute_statistics(text):
+    """Every statistic of a text, character by character and word by word."""
+    t = text or ""
+    count = lambda p: sum(1 for c in t if regex.fullmatch(p, c))
+    words, lines = [w for w in re.split(f"{SPACE}+", t) if w], [x for x in re.split(f"{SPACE}*\n{SPACE}*", t) if x]
+    n, w, m, spaces = len(t), len(words), len(lines), count(SPACE)
+    return {
+        "length": math.log1p(n), "words": math.log1p(w), "lines": math.log1p(m), "word_length": share(n - spaces, w), "line_words": share(w, m),
+        "upper": share(count(r"\p{Lu}"), count(r"\p{L}")), "letters": share(count(r"\p{L}"), n), "digits": share(count("[0-9]"), n), "spaces": share(spaces, n),
+        "ends": share(count("[.!?]"), w), "commas": share(count("[,;:]"), w), "bars": share(t.count("|"), w), "shouts": share(t.count("!"), w), "marks": share(sum(c in "#$%&*@^~=+<>\\/{}[]" for c in t), w),
+        "kinds": share(len(set(words)), math.sqrt(w)), "fresh": share(len(set(words)), w), "fresh_lines": share(len(set(lines)), m),
+        "same": share(sum(a == b for a, b in zip(words, words[1:], strict=False)), w), "common": share(sum(x.rstrip(".,;:!?").lower() in COMMON for x in words), w),
+    }
+
+
+def test_scores_equal_brute_force(spark, docs, prose):
+    odd = ["É ß Ǆ ǅ 漢字 😀!", "a | b |c\n\n x, y; z:\t#%{}[]\\/", "THE the The. the, the!", "\x0bone\x0ctwo\r\nthree  ", "1 2 33 IV", " nbsp  em", "\n\n", "!!!"]
+    rows = [(100 + i, prose(i, 30 + 3 * i).replace("w", "Word", i % 5)) for i in range(40)] + [(200 + i, x) for i, x in enumerate(odd)]
+    df = docs.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string"))
+    labels = spark.createDataFrame([(i, int(i % 3 == 0 or i % 7 > 4)) for i, _ in rows], "doc_id long, quality int")
+    model = Q.train(df, labels)
+    assert model.rules
+    got = Q.score(df, model).collect()
+    assert len(got) == df.count()
+    for r in got:
+        x = {f"_s_{k}": np.array([v]) for k, v in brute_statistics(r.text).items()}
+        near = any(abs(float(x[n][0]) - b) < 1e-12 for rule, _ in model.rules for n, _, b in rule.terms)  # bounds are values of texts: the last bit may differ
+        want = 1 / (1 + math.exp(-(model.base + sum(w for rule, w in model.rules if rule.holds(x)[0]))))
+        assert near or (r.score == pytest.approx(want) and r.predicted == int(r.score >= 0.3))
+    stats, names = Q.with_statistics(df)
+    for r in stats.collect():
+        assert {n: r[n] for n in names} == pytest.approx({f"_s_{k}": v for k, v in brute_statistics(r["_row"].text).items()})
+
 
 def test_learns_what_statistics_show(spark, prose):
     good = [(i, prose(i, 60 + i % 90, 3000).replace("w", "word") + ".", 1) for i in range(300)]

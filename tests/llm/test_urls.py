@@ -106,3 +106,23 @@ def model():
 def test_a_bad_path_is_blocked(spark):
     got = U.judge(spark.createDataFrame([(1, "https://neutral.org/porn/casino-poker"), (2, "https://neutral.org/history/museum")], "page_id long, url string")).collect()
     assert [(r.rule, r.verdict) for r in sorted(got, key=lambda r: r.page_id)] == [(None, "block"), (None, "allow")]
+
+
+def test_scores_equal_brute_force(spark):
+    import math
+    import zlib
+
+    weights, intercept = U.train(U.labelled_urls())
+    weights = weights.astype("float32")
+    rows = [(i, u) for i, (u, _) in enumerate(U.labelled_urls()[::97])] + [(-1, None), (-2, "no scheme"), (-3, "http://É.example/漢/1?x"), (-4, "http://"), (-5, "http://a/" + "b" * 5000)]
+    got = {r.page_id: r for r in U.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    for i, url in rows:
+        host, path = brute_split(url)
+        total = intercept
+        for mark, s in ((1, f"^{host}$"), (2, re.sub("[0-9]", "0", f"^{path}$"))):
+            b = s.encode()
+            buckets = {zlib.crc32(b[k : k + n], mark) % U.BUCKETS for n in (3, 4, 5) for k in range(len(b) - n + 1)}
+            total += sum(float(weights[x]) for x in buckets) / math.sqrt(max(1, len(buckets)))
+        want = 1 / (1 + math.exp(-total))
+        rule, verdict = brute_rule(host, path, U.RULES)
+        assert got[i].score == pytest.approx(want, rel=1e-4) and got[i].rule == rule and (abs(want - 0.5) < 1e-4 or got[i].verdict == (verdict or ("block" if want >= 0.5 else "allow")))
