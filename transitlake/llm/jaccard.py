@@ -33,7 +33,7 @@ BLOCK_SHINGLES, BLOCK_NODES = 500_000, 1024
 PARTS, PART_NODES = 8, 128
 #: Shingles and nodes of a candidate component that is verified as a whole; larger ones are verified bucket by bucket.
 WHOLE_SHINGLES, WHOLE_NODES = 4_000_000, 8192
-#: Candidate rows that are broadcast to fetch their texts, about 150 bytes each; beyond, the texts are shuffled.
+#: Candidate rows that are broadcast to fetch their texts, about 150 bytes each, or to name their classes; beyond, both sides are shuffled.
 BROADCAST_ROWS = 250_000
 #: A shingle in more texts of a block than this is counted by matrix products, others pair by pair.
 DENSE = 24
@@ -313,7 +313,7 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, shingle: int
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     whole = found.where("last").select("node", F.col("part").alias("root"))
     split = components(found.where("NOT last").select(F.col("node").alias("a"), F.col("part").alias("b")), folder, "linked")
-    roots = whole.union(split)
+    roots = small(whole.union(split), BROADCAST_ROWS)
     known = nodes.select("node", "d1", "d2", "m", "rep").join(roots, "node", "left").join(links, "node", "left").select("node", "d1", "d2", "m", "rep", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
     known = staged(known, folder, "known")
     drop(spark, *[f"{folder}/{x}" for x in ("nodes", "wanted", "placed", "fetched", "verified")])
