@@ -9,8 +9,6 @@ signatures. Sets are compared by Jaccard; a pair whose lengths alone rule the th
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -154,7 +152,8 @@ def with_next(docs: DataFrame, sigs: bool = True, whole: bool = False) -> DataFr
 
 def _placed(docs: DataFrame, bounds: list, name: str) -> DataFrame:
     """With ``name``: how many of the ascending ``bounds`` lie below doc_id, by halving; -1 for a null one."""
-    values, n = F.from_json(F.lit(json.dumps(bounds)), "array<bigint>"), len(bounds)  # one literal, however many
+    # one expression of literals, which is folded to one, however many
+    values, n = F.expr(f"array({', '.join(f'{x}L' for x in bounds)})").cast("array<bigint>"), len(bounds)
     docs = docs.withColumn(name, F.lit(0))
     for step in [1 << i for i in reversed(range(n.bit_length()))]:
         docs = docs.withColumn(name, F.when((F.col(name) + step <= n) & (F.get(values, F.col(name) + step - 1) < F.col("doc_id")), F.col(name) + step).otherwise(F.col(name)))
