@@ -1,5 +1,6 @@
 import hashlib
 import re
+from collections import Counter
 
 import pytest
 
@@ -123,3 +124,33 @@ def test_search_with_a_very_common_signature(spark, prose):
     assert set.intersection(*sets.values())
     got = {(r.query_id, r.doc_id): r.likeness for r in S.search(df, df.where("doc_id % 5 = 0"), 0.8).collect()}
     assert got == pytest.approx({(i, j): jaccard(a, b) for i, a in sets.items() for j, b in sets.items() if i % 5 == 0 and jaccard(a, b) >= 0.8})
+
+
+def test_commonest_signatures_go_last(spark, prose):
+    df = spark.createDataFrame([(i, f"the common opening {prose(i, 40)}") for i in range(50)], "doc_id long, text string")
+    rows = S.with_signatures(df, "text", "sigs")
+    top = S._commonest(rows)
+    n = Counter(x for r in rows.collect() for x in r.sigs)
+    assert len(top) == min(S.MOST_COMMON, len(n)) and {x for x, k in n.items() if k == 50} <= set(top[-3:])
+    assert S._commonest(rows.limit(0)) == []
+
+
+def test_the_search_query_equals_brute_force(spark, prose, tmp_path):
+    from transitlake.llm.queries import spotsigs_search
+
+    texts = {i: " ".join(prose(i % 30, 50).split()[: 50 - i // 100]) for i in range(0, 700, 5)} | {1: "", 2: None, 900: "", 800: None}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    sets = {i: frozenset(whole_sigs(t)) for i, t in texts.items() if t}
+    classes = {}
+    for i in sorted(sets):
+        classes.setdefault(sets[i], []).append(i)
+    want = {(i, ids[0]): (len(ids), jaccard(sets[i], c)) for i in sets if i % 100 == 0 for c, ids in classes.items() if jaccard(sets[i], c) >= 0.8}
+    got = spotsigs_search(spark, str(tmp_path)).collect()
+    assert len(got) == len(want) and {(r.query_id, r.class_id): (r.n_docs, pytest.approx(r.likeness)) for r in got} == want
+    assert any(i != j for i, j in want) and any(n > 1 for n, _ in want.values())
+
+
+def test_search_edge_cases(spark, docs, empty):
+    assert S.search(empty, docs).collect() == [] and S.search(docs, empty, expand=False).collect() == []
+    got = {(r.query_id, r.doc_id) for r in S.search(docs, docs).collect()}
+    assert {(1, 5), (5, 1), (9, 9), (None, None), (4, 4)} <= got and not {2, 3, 6, 8, 10} & {i for pair in got for i in pair}

@@ -36,6 +36,12 @@ def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.edited_fingerprints(_table(spark, sf_dir, "documents"), whole=True)
 
 
+def spotsigs_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprints' search: documents whose id is divisible by 100 against the sets of all."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spotsigs.search(docs, docs.where("doc_id % 100 = 0"), whole=True, expand=False)
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -75,5 +81,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_warc_derivatives,
         op10_url_filter,
         pack_conversations,
+        spotsigs_search,
     )
 }

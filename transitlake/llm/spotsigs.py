@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import row_key, words
+from .shared import row_key, shared_dir, staged, words
 
 # Very common words of four languages, the anchors.
 ANCHORS = {
@@ -25,6 +25,8 @@ CHAIN = 2
 #: Content words from one anchor to the next, beyond which ``whole`` takes all chains between them.
 STRETCH = 2 * CHAIN
 THRESHOLD = 0.8
+#: Signatures that go last in a prefix, and how many a sketch of them tracks.
+MOST_COMMON, TRACKED = 256, 10_000
 #: Buckets a partition of the ordered documents gets, on average, so that hashing spreads them evenly.
 BUCKETS_PER_PARTITION = 8
 #: Runs of ids at most; their bounds, a number each, are part of the plan.
@@ -80,39 +82,60 @@ def likeness(a: Column, b: Column, threshold: float = 0.0) -> Column:
     return F.when((most > 0) & (least < most * threshold), F.lit(0.0)).otherwise(exact).cast("double") if threshold else exact.cast("double")
 
 
-def search(docs: DataFrame, queries: DataFrame, threshold: float = THRESHOLD, whole: bool = False) -> DataFrame:
+def _commonest(rows: DataFrame) -> list[int]:
+    """The signatures that most rows hold, rarest first: a sketch of bounded size over all rows, merged on the way.
+
+    They only settle an order, so that an estimate loses nothing.
+    """
+    found = rows.select(F.explode("sigs").alias("sig")).agg(F.expr(f"approx_top_k(sig, {MOST_COMMON}, {TRACKED})").alias("top")).first()["top"]
+    return [x["item"] for x in sorted(found or [], key=lambda x: (x["count"], x["item"]))]
+
+
+def search(docs: DataFrame, queries: DataFrame, threshold: float = THRESHOLD, whole: bool = False, expand: bool = True) -> DataFrame:
     """(query_id, doc_id, likeness) of every query and document whose likeness is at least ``threshold``, above 0.
 
-    Equal signature sets are compared once. Sets are partitioned by length: runs of lengths so that like sets lie in the
-    same run or in neighbours. A set's prefix, of its signatures in their order, is long enough that like sets share a
-    signature of their prefixes; these meet in a shuffle, and are compared in full where their lengths allow it. Texts
-    without words are like one another only, and are left out. Null ids can match like others.
+    Equal signature sets are compared once; with ``expand`` unset they are not spread over their documents again, and the
+    columns are query_id, class_id (the least doc_id with that set), n_docs and likeness. Sets are partitioned by length:
+    runs of lengths so that like sets lie in the same run or in neighbours. A set's prefix, of its signatures in an order that
+    puts the commonest last, is long enough that like sets share a signature of their prefixes; these meet in a shuffle, and
+    are compared in full where their lengths allow it. Texts without words are like one another only, and are left out. Null
+    ids can match like others; extra columns are ignored; a query that repeats gives its rows as often. The documents' sets
+    are written to the shared folder once.
     """
     if not 0 < threshold <= 1:
         raise ValueError("a threshold lies above 0 and is 1 at most")
 
-    def sets(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def rows(df: DataFrame) -> DataFrame:
         full = with_signatures(df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text", "sigs", whole).where(F.size("sigs") > 0)
-        full = full.select("doc_id", "sigs", *row_key(F.col("sigs")))
-        return full.groupBy("_k1", "_k2").agg(F.any_value("sigs").alias("sigs")), full.select("doc_id", "_k1", "_k2")
+        return full.select("doc_id", "sigs", *row_key(F.col("sigs")))
+
+    def sets(full: DataFrame) -> DataFrame:
+        return full.groupBy("_k1", "_k2").agg(F.any_value("sigs").alias("sigs"), F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_docs"))
+
+    full = staged(rows(docs), shared_dir(docs.sparkSession), "signatures")
+    common = F.expr(f"array({', '.join(f'{x}L' if x > -(1 << 63) else 'bigint(-9223372036854775808)' for x in _commonest(full))})").cast("array<bigint>")
 
     def prefixes(df: DataFrame, reach: int) -> DataFrame:
         # entries hold no sets, so that a common signature's are short
         n = F.size("sigs")
         run = F.floor(F.log(n.cast("double")) / F.log(F.lit(1 / min(threshold, 0.999)))).cast("int")
-        head = F.slice("sigs", F.lit(1), F.least(n, n - F.ceil(n * threshold - 1e-9).cast("int") + 1))
+        ordered = F.concat(F.array_except("sigs", common), F.array_intersect(common, "sigs"))
+        head = F.slice(ordered, F.lit(1), F.least(n, n - F.ceil(n * threshold - 1e-9).cast("int") + 1))
         out = df.select("_k1", "_k2", n.alias("n"), F.explode(head).alias("sig"), run.alias("run"))
         return out.withColumn("run", F.explode(F.sequence(F.col("run") - reach, F.col("run") + reach))) if reach else out
 
-    (mine, my_ids), (all_sets, ids) = sets(queries), sets(docs)
+    asked, all_sets = rows(queries), sets(full)
+    mine = sets(asked)
     a = prefixes(mine, 1).select("sig", "run", F.col("_k1").alias("q1"), F.col("_k2").alias("q2"), F.col("n").alias("m"))
     met = a.join(prefixes(all_sets, 0), ["sig", "run"]).where(F.least("m", "n") >= threshold * F.greatest("m", "n") - 1e-9)
     # a pair that shares several signatures of its prefixes is compared once
     met = met.select("q1", "q2", "_k1", "_k2").distinct()
     met = met.join(mine.select(F.col("_k1").alias("q1"), F.col("_k2").alias("q2"), F.col("sigs").alias("q")), ["q1", "q2"]).join(all_sets, ["_k1", "_k2"])
-    met = met.select("q1", "q2", "_k1", "_k2", likeness(F.col("q"), F.col("sigs"), threshold).alias("likeness")).where(F.col("likeness") >= threshold)
-    met = met.join(ids, ["_k1", "_k2"]).drop("_k1", "_k2")
-    return met.join(my_ids.select(F.col("doc_id").alias("query_id"), F.col("_k1").alias("q1"), F.col("_k2").alias("q2")), ["q1", "q2"]).select("query_id", "doc_id", "likeness")
+    met = met.select("q1", "q2", "_k1", "_k2", "class_id", "n_docs", likeness(F.col("q"), F.col("sigs"), threshold).alias("likeness")).where(F.col("likeness") >= threshold)
+    if expand:
+        met = met.join(full.select("doc_id", "_k1", "_k2"), ["_k1", "_k2"])
+    ids = asked.select(F.col("doc_id").alias("query_id"), F.col("_k1").alias("q1"), F.col("_k2").alias("q2"))
+    return met.join(ids, ["q1", "q2"]).select("query_id", *(["doc_id"] if expand else ["class_id", "n_docs"]), "likeness")
 
 
 def _bounds(docs: DataFrame, n: int) -> list:
