@@ -154,3 +154,17 @@ def test_search_edge_cases(spark, docs, empty):
     assert S.search(empty, docs).collect() == [] and S.search(docs, empty, expand=False).collect() == []
     got = {(r.query_id, r.doc_id) for r in S.search(docs, docs).collect()}
     assert {(1, 5), (5, 1), (9, 9), (None, None), (4, 4)} <= got and not {2, 3, 6, 8, 10} & {i for pair in got for i in pair}
+
+
+def test_one_id_or_null_with_a_third_of_the_rows(spark, prose):
+    # the order is total but for equal rows: ids downwards, null last, then by the text's hash
+    rows = [(i, prose(i, 12)) for i in range(40)] + [(7, prose(100 + i, 12)) for i in range(40)] + [(None, prose(200 + i, 12)) for i in range(40)] + [(None, "same")] * 9
+    rows += [(-(1 << 63), prose(300 + i, 9)) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    hashes = {r.text: r.h for r in df.selectExpr("text", "xxhash64(text) AS h").collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashes[r[1]]))
+    want = Counter((d, t, order[(k + 1) % len(order)][1]) for k, (d, t) in enumerate(order))
+    got = S.with_next(df, sigs=False)
+    assert Counter((r.doc_id, r.text, r.next_text) for r in got.collect()) == want
+    _, slices = S._bounds(df, 32)
+    assert slices[0] >= 8 and sum(x >= 4 for x in slices[1:]) >= 2

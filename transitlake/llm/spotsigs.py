@@ -9,6 +9,8 @@ signatures. Sets are compared by Jaccard; a pair whose lengths alone rule the th
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +31,7 @@ THRESHOLD = 0.8
 MOST_COMMON, TRACKED = 256, 10_000
 #: Buckets a partition of the ordered documents gets, on average, so that hashing spreads them evenly.
 BUCKETS_PER_PARTITION = 8
-#: Runs of ids at most; their bounds, a number each, are part of the plan.
+#: Runs of ids at most; their bounds, some numbers each, are part of the plan.
 MOST_RUNS = 50_000
 
 
@@ -113,7 +115,7 @@ def search(docs: DataFrame, queries: DataFrame, threshold: float = THRESHOLD, wh
         return full.groupBy("_k1", "_k2").agg(F.any_value("sigs").alias("sigs"), F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_docs"))
 
     full = staged(rows(docs), shared_dir(docs.sparkSession), "signatures")
-    common = F.expr(f"array({', '.join(f'{x}L' if x > -(1 << 63) else 'bigint(-9223372036854775808)' for x in _commonest(full))})").cast("array<bigint>")
+    common = _literals(_commonest(full))
 
     def prefixes(df: DataFrame, reach: int) -> DataFrame:
         # entries hold no sets, so that a common signature's are short
@@ -138,30 +140,40 @@ def search(docs: DataFrame, queries: DataFrame, threshold: float = THRESHOLD, wh
     return met.join(ids, ["q1", "q2"]).select("query_id", *(["doc_id"] if expand else ["class_id", "n_docs"]), "likeness")
 
 
-def _bounds(docs: DataFrame, n: int) -> list:
-    """Some document ids, ascending, that cut the documents into about ``n`` even runs."""
-    found = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 20 * n).alias("b")).first()["b"] if n > 1 else None
-    return sorted(set(found or []))
+def _bounds(docs: DataFrame, n: int) -> tuple[list[int], list[int]]:
+    """Some document ids, ascending, that cut the documents into about ``n`` even runs; and into how many slices each run is cut, null ids' run first.
+
+    A run has more than one slice only where it is of a single id, which holds as many runs' share.
+    """
+    found = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 20 * n).alias("b"), F.count(F.lit(1)).alias("all"), F.count("doc_id").alias("ids")).first()
+    times = Counter(found["b"] or [])
+    bounds = sorted({*times, *(v - 1 for v, k in times.items() if k > 1 and v > -(1 << 63))})
+    nulls = -(-n * (found["all"] - found["ids"]) // max(found["all"], 1))
+    return bounds, [max(x, 1) for x in (nulls, *(times[v] for v in bounds), 1)]
 
 
 def with_next(docs: DataFrame, sigs: bool = True, whole: bool = False) -> DataFrame:
     """(doc_id, text, [sigs,] next_text, [next_sigs,]): each document beside the next one in descending order of doc_id; the last beside the first.
 
     Documents are dealt into runs of ids; each run gets a copy of the first document of the run below, so that no run needs
-    another. Equal ids go by text, null ids come last. A single document's next one is itself.
+    another. Equal ids go by text's hash, then text, null ids come last; where one id, or null, has very many documents, their
+    run is cut into slices by that hash. A single document's next one is itself.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     n = min(MOST_RUNS, BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bounds = _bounds(docs, n)  # at most n numbers
-    # run k holds the ids above bounds[k - 1], up to and with bounds[k]; run -1 the null ones
-    dealt = _placed(docs, bounds, "_run").withColumn("_ghost", F.lit(0))
+    bounds, slices = _bounds(docs, n)  # at most 2 n numbers
+    # a run holds the ids above a bound, up to and with the next; slices count downwards, as their hashes go up
+    most = max(slices)
+    size = F.get(_literals(slices), F.col("_place") + 1)
+    part = F.least(F.floor((F.xxhash64("text").cast("double") / 2.0**64 + 0.5) * size), size - 1)
+    dealt = _placed(docs, bounds, "_place").withColumn("_run", (F.col("_place") + 1).cast("long") * most + most - 1 - part).drop("_place").withColumn("_ghost", F.lit(0))
     order = [F.col("_ghost").asc(), F.col("doc_id").desc_nulls_last(), F.xxhash64("text").asc(), F.col("text").asc()]
-    # which documents begin a run, in descending order: a row a run, at most n + 1
-    runs = sorted((r["_run"], r["top"], r["h"]) for r in dealt.groupBy("_run").agg(F.max("doc_id").alias("top"), F.min_by(F.xxhash64("text"), F.struct(-F.col("doc_id"), F.xxhash64("text"))).alias("h")).collect())
+    # which documents begin a run, in descending order: a row a slice, at most 3 n + 2
+    runs = sorted((r["_run"], r["top"], r["h"]) for r in dealt.groupBy("_run").agg(F.max("doc_id").alias("top"), F.min_by(F.xxhash64("text"), F.struct(F.bitwise_not("doc_id"), F.xxhash64("text"))).alias("h")).collect())
     # beside each run the one above it, which its first document closes; above the uppermost one comes the lowest again
     above = [(run, runs[(i + 1) % len(runs)][0], top, h) for i, (run, top, h) in enumerate(runs)]
-    above = F.broadcast(spark.createDataFrame(above, "_run int, _above int, _top long, _h long"))
+    above = F.broadcast(spark.createDataFrame(above, "_run long, _above long, _top long, _h long"))
     heads = dealt.join(above, "_run").where(F.col("doc_id").eqNullSafe(F.col("_top")) & (F.xxhash64("text") == F.col("_h")))
     first = Window.partitionBy("_run").orderBy(F.col("text").asc())
     ghosts = heads.withColumn("_n", F.row_number().over(first)).where("_n = 1").select("doc_id", "text", F.col("_above").alias("_run"), F.lit(1).alias("_ghost"))
@@ -173,10 +185,14 @@ def with_next(docs: DataFrame, sigs: bool = True, whole: bool = False) -> DataFr
     return out.where("_ghost = 0").drop("_run", "_ghost")
 
 
+def _literals(values: list[int]) -> Column:
+    """An array of numbers: one expression of literals, which is folded to one, however many."""
+    return F.expr(f"array({', '.join(f'{x}L' if x > -(1 << 63) else 'bigint(-9223372036854775808)' for x in values)})").cast("array<bigint>")
+
+
 def _placed(docs: DataFrame, bounds: list, name: str) -> DataFrame:
     """With ``name``: how many of the ascending ``bounds`` lie below doc_id, by halving; -1 for a null one."""
-    # one expression of literals, which is folded to one, however many
-    values, n = F.expr(f"array({', '.join(f'{x}L' for x in bounds)})").cast("array<bigint>"), len(bounds)
+    values, n = _literals(bounds), len(bounds)
     docs = docs.withColumn(name, F.lit(0))
     for step in [1 << i for i in reversed(range(n.bit_length()))]:
         docs = docs.withColumn(name, F.when((F.col(name) + step <= n) & (F.get(values, F.col(name) + step - 1) < F.col("doc_id")), F.col(name) + step).otherwise(F.col(name)))
