@@ -13,6 +13,8 @@ from ..sources.storage import shared_root
 
 #: Runs of what is no word character; applied to a text whose case is still as it was.
 NO_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What a word has at least one of.
+WORD = NO_WORD.replace("[", "[^").removesuffix("+")
 _FOLDERS: list[str] = []
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 

@@ -14,7 +14,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import row_key, shared_dir, staged, words
+from .shared import WORD, row_key, shared_dir, staged, words
 
 # Very common words of four languages, the anchors.
 ANCHORS = {
@@ -101,20 +101,22 @@ def search(docs: DataFrame, queries: DataFrame, threshold: float = THRESHOLD, wh
     runs of lengths so that like sets lie in the same run or in neighbours. A set's prefix, of its signatures in an order that
     puts the commonest last, is long enough that like sets share a signature of their prefixes; these meet in a shuffle, and
     are compared in full where their lengths allow it. Texts without words are like one another only, and are left out. Null
-    ids can match like others; extra columns are ignored; a query that repeats gives its rows as often. The documents' sets
+    ids can match like others; extra columns are ignored; a query that repeats gives its rows as often. Both sides' sets
     are written to the shared folder once.
     """
     if not 0 < threshold <= 1:
         raise ValueError("a threshold lies above 0 and is 1 at most")
 
     def rows(df: DataFrame) -> DataFrame:
-        full = with_signatures(df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text", "sigs", whole).where(F.size("sigs") > 0)
+        # a filter on the signatures would be pushed below their steps and repeat them; this one is on the text
+        full = with_signatures(df.select("doc_id", "text").where(F.col("text").rlike(WORD)), "text", "sigs", whole)
         return full.select("doc_id", "sigs", *row_key(F.col("sigs")))
 
     def sets(full: DataFrame) -> DataFrame:
         return full.groupBy("_k1", "_k2").agg(F.any_value("sigs").alias("sigs"), F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_docs"))
 
-    full = staged(rows(docs), shared_dir(docs.sparkSession), "signatures")
+    folder = shared_dir(docs.sparkSession)
+    full, asked = staged(rows(docs), folder, "signatures"), staged(rows(queries), folder, "queries")
     common = _literals(_commonest(full))
 
     def prefixes(df: DataFrame, reach: int) -> DataFrame:
@@ -126,8 +128,7 @@ def search(docs: DataFrame, queries: DataFrame, threshold: float = THRESHOLD, wh
         out = df.select("_k1", "_k2", n.alias("n"), F.explode(head).alias("sig"), run.alias("run"))
         return out.withColumn("run", F.explode(F.sequence(F.col("run") - reach, F.col("run") + reach))) if reach else out
 
-    asked, all_sets = rows(queries), sets(full)
-    mine = sets(asked)
+    all_sets, mine = sets(full), sets(asked)
     a = prefixes(mine, 1).select("sig", "run", F.col("_k1").alias("q1"), F.col("_k2").alias("q2"), F.col("n").alias("m"))
     met = a.join(prefixes(all_sets, 0), ["sig", "run"]).where(F.least("m", "n") >= threshold * F.greatest("m", "n") - 1e-9)
     # a pair that shares several signatures of its prefixes is compared once
