@@ -14,7 +14,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import WORD, row_key, shared_dir, staged, words
+from .shared import WORD, row_key, shared_dir, small, staged, words
 
 # Very common words of four languages, the anchors.
 ANCHORS = {
@@ -29,6 +29,8 @@ STRETCH = 2 * CHAIN
 THRESHOLD = 0.8
 #: Signatures that go last in a prefix, and how many a sketch of them tracks.
 MOST_COMMON, TRACKED = 256, 10_000
+#: Sets that share a signature with a query, 16 bytes each, beyond which their keys are shuffled and not broadcast.
+MOST_FOUND = 1_000_000
 #: Buckets a partition of the ordered documents gets, on average, so that hashing spreads them evenly.
 BUCKETS_PER_PARTITION = 8
 #: Runs of ids at most; their bounds, some numbers each, are part of the plan.
@@ -102,7 +104,7 @@ def search(docs: DataFrame, queries: DataFrame, threshold: float = THRESHOLD, wh
     puts the commonest last, is long enough that like sets share a signature of their prefixes; these meet in a shuffle, and
     are compared in full where their lengths allow it. Texts without words are like one another only, and are left out. Null
     ids can match like others; extra columns are ignored; a query that repeats gives its rows as often. Both sides' sets
-    are written to the shared folder once.
+    and the pairs that meet are written to the shared folder once.
     """
     if not 0 < threshold <= 1:
         raise ValueError("a threshold lies above 0 and is 1 at most")
@@ -128,12 +130,14 @@ def search(docs: DataFrame, queries: DataFrame, threshold: float = THRESHOLD, wh
         out = df.select("_k1", "_k2", n.alias("n"), F.explode(head).alias("sig"), run.alias("run"))
         return out.withColumn("run", F.explode(F.sequence(F.col("run") - reach, F.col("run") + reach))) if reach else out
 
-    all_sets, mine = sets(full), sets(asked)
+    mine = sets(asked)
     a = prefixes(mine, 1).select("sig", "run", F.col("_k1").alias("q1"), F.col("_k2").alias("q2"), F.col("n").alias("m"))
-    met = a.join(prefixes(all_sets, 0), ["sig", "run"]).where(F.least("m", "n") >= threshold * F.greatest("m", "n") - 1e-9)
+    # equal sets have equal entries; these become one before the join, so that no set is shuffled
+    met = a.join(prefixes(full, 0).distinct(), ["sig", "run"]).where(F.least("m", "n") >= threshold * F.greatest("m", "n") - 1e-9)
     # a pair that shares several signatures of its prefixes is compared once
-    met = met.select("q1", "q2", "_k1", "_k2").distinct()
-    met = met.join(mine.select(F.col("_k1").alias("q1"), F.col("_k2").alias("q2"), F.col("sigs").alias("q")), ["q1", "q2"]).join(all_sets, ["_k1", "_k2"])
+    met = staged(met.select("q1", "q2", "_k1", "_k2").distinct(), folder, "pairs")
+    found = sets(full.join(small(met.select("_k1", "_k2").distinct(), MOST_FOUND), ["_k1", "_k2"], "left_semi"))
+    met = met.join(mine.select(F.col("_k1").alias("q1"), F.col("_k2").alias("q2"), F.col("sigs").alias("q")), ["q1", "q2"]).join(found, ["_k1", "_k2"])
     met = met.select("q1", "q2", "_k1", "_k2", "class_id", "n_docs", likeness(F.col("q"), F.col("sigs"), threshold).alias("likeness")).where(F.col("likeness") >= threshold)
     if expand:
         met = met.join(full.select("doc_id", "_k1", "_k2"), ["_k1", "_k2"])
