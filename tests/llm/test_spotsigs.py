@@ -168,3 +168,20 @@ def test_one_id_or_null_with_a_third_of_the_rows(spark, prose):
     assert Counter((r.doc_id, r.text, r.next_text) for r in got.collect()) == want
     _, slices = S._bounds(df, 32)
     assert slices[0] >= 8 and sum(x >= 4 for x in slices[1:]) >= 2
+
+
+def test_bits_rule_no_like_pair_out(spark):
+    import random
+
+    rng = random.Random(5)
+    sets = []
+    for n in (0, 1, 3, 60, 64, 65, 130, 900, 6000):
+        one = [rng.getrandbits(64) - (1 << 63) for _ in range(n)]
+        sets += [one, one[n // 10 :], one[n // 3 :] + [rng.getrandbits(63) for _ in range(n // 4)], [rng.getrandbits(63) for _ in range(n)]]
+    df = spark.createDataFrame([(i, sorted(set(s))) for i, s in enumerate(sets)], "i int, sigs array<bigint>").withColumn("bits", S.parities("sigs"))
+    assert {r.i: len(r.bits) for r in df.collect() if r.i in (0, 4, 16, 20, 24, 28, 32)} == {0: 0, 4: 1, 16: 1, 20: 2, 24: 4, 28: 16, 32: 64}
+    pairs = df.crossJoin(df.selectExpr("i AS j", "bits AS other")).select("i", "j", S.differing("bits", "other").alias("d")).collect()
+    for r in pairs:
+        assert r.d <= len(set(sets[r.i]) ^ set(sets[r.j])) and (r.i != r.j or r.d == 0)
+    told = {(r.i, r.j): r.d for r in pairs}
+    assert all(told[k, k + 3] > 2 / 9 * len(sets[k]) for k in (12, 16, 20, 24, 28, 32))

@@ -29,7 +29,9 @@ STRETCH = 2 * CHAIN
 THRESHOLD = 0.8
 #: Signatures that go last in a prefix, and how many a sketch of them tracks.
 MOST_COMMON, TRACKED = 256, 10_000
-#: Sets that share a signature with a query, 16 bytes each, beyond which their keys are shuffled and not broadcast.
+#: Words of 64 bits that a set's parity bits take at most; beyond that they tell longer sets less well apart.
+MOST_WORDS = 64
+#: Sets that are like a query by their bits, 16 bytes each, beyond which their keys are shuffled and not broadcast.
 MOST_FOUND = 1_000_000
 #: Buckets a partition of the ordered documents gets, on average, so that hashing spreads them evenly.
 BUCKETS_PER_PARTITION = 8
@@ -95,6 +97,24 @@ def _commonest(rows: DataFrame) -> list[int]:
     return [x["item"] for x in sorted(found or [], key=lambda x: (x["count"], x["item"]))]
 
 
+def parities(sigs: str) -> Column:
+    """Bits of a signature set, about one a signature: each tells whether an odd number of signatures falls on it; none for an empty set.
+
+    Two sets differ in at least as many signatures as in bits, so that bits can rule a pair out, never in.
+    """
+    # a width is a power of two, so that a wider array folds to a narrower one
+    width = f"shiftleft(1, cast(greatest(0, least({MOST_WORDS.bit_length() - 1}, ceil(log2(size({sigs}) / 64.0D)))) as int))"
+    word = f"(i, w) -> aggregate({sigs}, 0L, (a, s) -> if((s & (w - 1)) = i, a ^ shiftleft(1L, cast(shiftright(s, 8) & 63 as int)), a))"
+    return F.expr(f"if(size({sigs}) > 0, zip_with(sequence(0, {width} - 1), array_repeat({width}, {width}), {word}), cast(array() as array<bigint>))")
+
+
+def differing(a: str, b: str) -> Column:
+    """In how many bits two columns of ``parities`` differ, the wider folded to the narrower's width."""
+    least = f"least(size({a}), size({b}))"
+    fold = "if(size({0}) = {1}, {0}, transform(sequence(0, {1} - 1), i -> aggregate(filter({0}, (x, j) -> j % {1} = i), 0L, (s, x) -> s ^ x)))"
+    return F.expr(f"if({least} = 0, 0, aggregate(zip_with({fold.format(a, least)}, {fold.format(b, least)}, (x, y) -> bit_count(x ^ y)), 0, (s, n) -> s + n))")
+
+
 def search(docs: DataFrame, queries: DataFrame, threshold: float = THRESHOLD, whole: bool = False, expand: bool = True) -> DataFrame:
     """(query_id, doc_id, likeness) of every query and document whose likeness is at least ``threshold``, above 0.
 
@@ -102,7 +122,7 @@ def search(docs: DataFrame, queries: DataFrame, threshold: float = THRESHOLD, wh
     columns are query_id, class_id (the least doc_id with that set), n_docs and likeness. Sets are partitioned by length:
     runs of lengths so that like sets lie in the same run or in neighbours. A set's prefix, of its signatures in an order that
     puts the commonest last, is long enough that like sets share a signature of their prefixes; these meet in a shuffle, and
-    are compared in full where their lengths allow it. Texts without words are like one another only, and are left out. Null
+    are compared in full where their lengths, the places of that signature and their bits (``parities``) allow it. Texts without words are like one another only, and are left out. Null
     ids can match like others; extra columns are ignored; a query that repeats gives its rows as often. Both sides' sets
     and the pairs that meet are written to the shared folder once.
     """
@@ -112,7 +132,7 @@ def search(docs: DataFrame, queries: DataFrame, threshold: float = THRESHOLD, wh
     def rows(df: DataFrame) -> DataFrame:
         # a filter on the signatures would be pushed below their steps and repeat them; this one is on the text
         full = with_signatures(df.select("doc_id", "text").where(F.col("text").rlike(WORD)), "text", "sigs", whole)
-        return full.select("doc_id", "sigs", *row_key(F.col("sigs")))
+        return full.select("doc_id", "sigs", *row_key(F.col("sigs")), parities("sigs").alias("bits"))
 
     def sets(full: DataFrame) -> DataFrame:
         return full.groupBy("_k1", "_k2").agg(F.any_value("sigs").alias("sigs"), F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_docs"))
@@ -127,15 +147,21 @@ def search(docs: DataFrame, queries: DataFrame, threshold: float = THRESHOLD, wh
         run = F.floor(F.log(n.cast("double")) / F.log(F.lit(1 / min(threshold, 0.999)))).cast("int")
         ordered = F.concat(F.array_except("sigs", common), F.array_intersect(common, "sigs"))
         head = F.slice(ordered, F.lit(1), F.least(n, n - F.ceil(n * threshold - 1e-9).cast("int") + 1))
-        out = df.select("_k1", "_k2", n.alias("n"), F.explode(head).alias("sig"), run.alias("run"))
+        out = df.select("_k1", "_k2", n.alias("n"), F.posexplode(head).alias("at", "sig"), run.alias("run"))
         return out.withColumn("run", F.explode(F.sequence(F.col("run") - reach, F.col("run") + reach))) if reach else out
 
     mine = sets(asked)
-    a = prefixes(mine, 1).select("sig", "run", F.col("_k1").alias("q1"), F.col("_k2").alias("q2"), F.col("n").alias("m"))
+    a = prefixes(mine, 1).select("sig", "run", F.col("_k1").alias("q1"), F.col("_k2").alias("q2"), F.col("n").alias("m"), F.col("at").alias("q_at"))
     # equal sets have equal entries; these become one before the join, so that no set is shuffled
     met = a.join(prefixes(full, 0).distinct(), ["sig", "run"]).where(F.least("m", "n") >= threshold * F.greatest("m", "n") - 1e-9)
-    # a pair that shares several signatures of its prefixes is compared once
-    met = staged(met.select("q1", "q2", "_k1", "_k2").distinct(), folder, "pairs")
+    # from their first common signature on, sets have no more in common than the shorter rest holds
+    met = met.where(F.least(F.col("m") - F.col("q_at"), F.col("n") - F.col("at")) >= threshold / (1 + threshold) * (F.col("m") + F.col("n")) - 1e-6)
+    # a pair that shares several signatures of its prefixes is compared once; bits rule most pairs out before sets are sent to them
+    met = met.select("q1", "q2", "_k1", "_k2", "m", "n").distinct()
+    met = met.join(asked.select(F.col("_k1").alias("q1"), F.col("_k2").alias("q2"), F.col("bits").alias("q_bits")).distinct(), ["q1", "q2"])
+    met = met.join(full.select("_k1", "_k2", "bits").distinct(), ["_k1", "_k2"])
+    met = met.where(differing("q_bits", "bits") <= (1 - threshold) / (1 + threshold) * (F.col("m") + F.col("n")) + 1e-6)
+    met = staged(met.select("q1", "q2", "_k1", "_k2"), folder, "pairs")
     found = sets(full.join(small(met.select("_k1", "_k2").distinct(), MOST_FOUND), ["_k1", "_k2"], "left_semi"))
     met = met.join(mine.select(F.col("_k1").alias("q1"), F.col("_k2").alias("q2"), F.col("sigs").alias("q")), ["q1", "q2"]).join(found, ["_k1", "_k2"])
     met = met.select("q1", "q2", "_k1", "_k2", "class_id", "n_docs", likeness(F.col("q"), F.col("sigs"), threshold).alias("likeness")).where(F.col("likeness") >= threshold)
