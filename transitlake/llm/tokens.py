@@ -81,6 +81,8 @@ class Encoder:
         self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.width = np.dtype("<u2") if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.dtype("<u4")
         self.code = "H" if self.width.itemsize == 2 else "I"
+        #: each id's bytes
+        self.bytes = [struct.pack(f"<{self.code}", x) for x in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.space = self.letters[ord(" ")]
@@ -91,7 +93,8 @@ class Encoder:
 
     def _letters(self, letters: str) -> bytes:
         """The ids of what BPE never joins to anything else, in byte-level letters."""
-        return self._packed([x.id for x in self.model.tokenize(letters)])
+        each = self.bytes
+        return b"".join([each[x.id] for x in self.model.tokenize(letters)])
 
     def _part(self, part: str) -> bytes:
         if (found := self.parts.get(part)) is None:
@@ -134,12 +137,13 @@ class Encoder:
             first, *rest = _cut(text)
             blobs = [self._piece(first)]
             blobs += map(look, rest)
-            if None in blobs:
-                for i, x in enumerate(rest, 1):
-                    if blobs[i] is None:
-                        blobs[i] = blob = self._spaced(x)
-                        if len(x) <= LONGEST:
-                            known[x] = blob
+            i = 0
+            for _ in range(blobs.count(None)):
+                i = blobs.index(None, i)
+                x = rest[i - 1]
+                blobs[i] = blob = self._spaced(x)
+                if len(x) <= LONGEST:
+                    known[x] = blob
             blobs.append(end)
             out.append(b"".join(blobs))
         return out
