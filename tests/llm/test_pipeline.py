@@ -93,4 +93,4 @@ def test_queries_cover_whole_tables(spark):
     for name, rows in (("op2_token_id_output", n["documents"]), ("op5_quality_classifier", n["documents"]), ("op8_ngram_jaccard_join", n["documents"]), ("op9_warc_derivatives", 2 * n["pages"]), ("op10_url_filter", n["pages"])):
         assert QUERIES[name](spark, SF).count() == rows
     own = [k for k in QUERIES if k.startswith("op")]
-    assert sorted(int(k[2:].split("_")[0]) for k in own) == list(range(1, 11)) and set(QUERIES) - set(own) == {"pack_conversations"}
+    assert sorted(int(k[2:].split("_")[0]) for k in own) == list(range(1, 11)) and set(QUERIES) - set(own) == {"pack_conversations", "spotsigs_search"}
